@@ -1,0 +1,47 @@
+"""Every registered query against its SQL on another engine."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+from conftest import TESTDATA
+from starloom.plans import ORACLE, QUERIES
+
+SF_DIR = TESTDATA / os.environ.get("ORACLE_SF", "sf0.01")
+TABLES = "region nation customer supplier part orders lineitem events".split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"create view {table} as select * from read_parquet('{SF_DIR}/{table}.parquet')"
+        )
+    return connection
+
+
+def ordered(names, rows):
+    """Rows with columns by name, in an order that does not depend on the engine."""
+    by_name = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(([row[i] for i in by_name] for row in rows), key=repr)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, duck, name):
+    ours = QUERIES[name](spark, str(SF_DIR))
+    theirs = duck.execute(ORACLE[name])
+    names = [column[0] for column in theirs.description]
+    assert sorted(ours.columns) == sorted(names)
+    got = ordered(ours.columns, [tuple(row) for row in ours.collect()])
+    expected = ordered(names, theirs.fetchall())
+    assert len(got) == len(expected) > 0
+    wrong = [(a, b) for a, b in zip(got, expected) if a != b]
+    assert not wrong, f"{len(wrong)} of {len(got)} rows differ, as {wrong[0]}"
