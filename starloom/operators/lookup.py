@@ -47,7 +47,8 @@ class Lookup:
     ``on`` maps columns of the large table to key columns of ``table``;
     ``take`` names the columns to bring over. ``max_rows`` is a row bound known
     beforehand (a calendar between two dates) that makes measuring needless.
-    ``skewed`` is False if the large table, too, has one row per key.
+    ``skewed`` is False if the large table, too, has one row per key. Repeated
+    keys raise if ``check_unique``; else the caller vouches for them.
     """
 
     table: DataFrame
@@ -56,6 +57,7 @@ class Lookup:
     how: str = "left"
     max_rows: int | None = None
     skewed: bool = True
+    check_unique: bool = False
 
     def __post_init__(self) -> None:
         if self.how not in ("left", "inner"):
@@ -91,17 +93,7 @@ def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
 
     Rows are counted; only columns of varying length are read for their size.
     """
-    if not tables:
-        return []
-    measured = reduce(
-        DataFrame.unionByName,
-        [
-            table.agg(_bytes(table).alias("bytes")).withColumn("position", F.lit(position))
-            for position, table in enumerate(tables)
-        ],
-    )
-    sizes = {row["position"]: row["bytes"] for row in measured.collect()}
-    return [sizes[position] <= limit for position in range(len(tables))]
+    return [size <= limit for size, _ in _measured([(table, ()) for table in tables])]
 
 
 def hot_keys(
@@ -139,16 +131,45 @@ def _check(rows: DataFrame, lookup: Lookup) -> None:
 
 
 def _within(lookups: Sequence[Lookup], limit: int) -> list[bool]:
-    bounded = [_row_bytes(lookup) * (lookup.max_rows or 0) for lookup in lookups]
-    known = [lookup.max_rows is not None for lookup in lookups]
-    measured = iter(
-        fits_broadcast([lookup.pruned() for lookup, k in zip(lookups, known) if not k], limit)
+    unknown = [lookup for lookup in lookups if lookup.max_rows is None]
+    measured = _measured(
+        [(lk.pruned(), tuple(lk.on.values()) if lk.check_unique else ()) for lk in unknown]
     )
-    return [size <= limit if k else next(measured) for size, k in zip(bounded, known)]
+    for lookup, (_, repeats) in zip(unknown, measured):
+        if repeats > 1:
+            raise ValueError(
+                f"one value of {list(lookup.on.values())} has {repeats} rows to look up, "
+                "which would multiply the rows that hold it"
+            )
+    sizes = iter(measured)
+    return [
+        (next(sizes)[0] if lookup.max_rows is None else _bound(lookup)) <= limit
+        for lookup in lookups
+    ]
 
 
-def _row_bytes(lookup: Lookup) -> int:
-    return ROW_BYTES + SLOT_BYTES * (len(lookup.on) + len(lookup.take))
+def _bound(lookup: Lookup) -> int:
+    return lookup.max_rows * (ROW_BYTES + SLOT_BYTES * (len(lookup.on) + len(lookup.take)))
+
+
+def _measured(tables: Sequence[tuple[DataFrame, tuple[str, ...]]]) -> list[tuple[int, int]]:
+    """Bytes of each table and, if keys are given, most rows with one key; in one job."""
+    if not tables:
+        return []
+    parts = []
+    for position, (table, keys) in enumerate(tables):
+        if keys:
+            per_key = table.groupBy(*keys).agg(
+                _bytes(table).alias("bytes"), F.count(F.lit(1)).alias("n")
+            )
+            known = reduce(and_, [F.col(key).isNotNull() for key in keys])
+            repeats = F.max(F.when(known, F.col("n")))
+            part = per_key.agg(F.sum("bytes").alias("bytes"), repeats.alias("repeats"))
+        else:
+            part = table.agg(_bytes(table).alias("bytes"), F.lit(0).cast("long").alias("repeats"))
+        parts.append(part.withColumn("position", F.lit(position)))
+    found = {row["position"]: row for row in reduce(DataFrame.unionByName, parts).collect()}
+    return [(found[i]["bytes"] or 0, found[i]["repeats"] or 0) for i in range(len(tables))]
 
 
 def _bytes(table: DataFrame) -> Column:

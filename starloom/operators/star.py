@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -52,17 +51,16 @@ def load_fact(raw: DataFrame, keys: Sequence[DimensionKey], mode: str = "keep")
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}, not {mode}")
-    usable = [_usable(key, mode) for key in keys]
-    _require_unique([(key, dim) for key, dim in zip(keys, usable) if key.max_rows is None])
     lookups = [
         Lookup(
-            dim,
+            _usable(key, mode),
             {key.on: key.natural_key},
             [key.sk],
-            "inner" if mode == "active" and key.required else "left",
-            key.max_rows,
+            how="inner" if mode == "active" and key.required else "left",
+            max_rows=key.max_rows,
+            check_unique=key.latest_by is None,
         )
-        for key, dim in zip(keys, usable)
+        for key in keys
     ]
     natural = [key.on for key in keys]
     kept = [name for name in raw.columns if mode == "suspend" or name not in natural]
@@ -81,8 +79,7 @@ def category_revenue(
     sold = _completed(fact, completed, sk).select(sk, _amount(amount).alias("amount"))
     products = product.select(sk, category)
     if fits_broadcast([products])[0]:
-        per_category = resolve(sold, [Lookup(products, {sk: sk}, [category], "inner")])
-        return per_category.groupBy(category).agg(
+        return sold.join(F.broadcast(products), sk).groupBy(category).agg(
             exact_sum(sold, F.col("amount")).alias("total_amount")
         )
     # Too many products to broadcast: sum per product first, so that the join
@@ -187,27 +184,6 @@ def _usable(key: DimensionKey, mode: str) -> DataFrame:
     return dim.select(key.natural_key, key.sk)
 
 
-def _require_unique(dims: Sequence[tuple[DimensionKey, DataFrame]]) -> None:
-    """One job over the key columns of all dimensions that promise unique keys."""
-    counts = [
-        dim.groupBy(key.natural_key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col(key.natural_key).isNotNull())
-        .agg(F.max("n").alias("n"))
-        .withColumn("key", F.lit(key.natural_key))
-        for key, dim in dims
-        if key.latest_by is None
-    ]
-    if not counts:
-        return
-    for row in reduce(DataFrame.unionByName, counts).collect():
-        if (row["n"] or 0) > 1:
-            raise ValueError(
-                f"one {row['key']} has {row['n']} dimension rows, which would multiply "
-                "its facts; name a latest_by column"
-            )
-
-
 def _completed(fact: DataFrame, completed: str, sk: str) -> DataFrame:
     return fact.where((F.col("status") == completed) & F.col(sk).isNotNull())
 

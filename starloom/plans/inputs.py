@@ -20,6 +20,21 @@ from starloom.operators.lookup import Lookup, resolve
 from starloom.operators.scd2 import ScdSpec
 from starloom.operators.star import DimensionKey
 
+# Schemas of the given tables; without them each read first opens the files.
+TABLES = {
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "part": "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
+
 # Days the customer snapshots are taken; the last one follows the last order.
 SNAPSHOT_DAYS = ("1996-01-01", "1996-07-01", "2001-08-02")
 # A customer is in a snapshot if it ordered within this many days before it.
@@ -48,7 +63,7 @@ CUSTOMER_SPEC = ScdSpec(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_lines(spark: SparkSession, sf_dir: str, *take: str) -> DataFrame:
