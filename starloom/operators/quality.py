@@ -127,9 +127,11 @@ def failing_rows(df: DataFrame, rules: DataFrame | Sequence[Rule]) -> DataFrame:
     }
     if not conditions:
         raise ValueError("no row-level rules")
-    ids = F.array_compact(
-        F.array(*[F.when(condition, F.lit(rule_id)) for rule_id, condition in conditions.items()])
-    )
+    # Rules that hold leave a value no rule has, which array_remove takes out;
+    # it is compiled with the rest, where array_compact runs a lambda per row.
+    none = min(conditions) - 1
+    marks = [F.when(failed, rule_id).otherwise(none) for rule_id, failed in conditions.items()]
+    ids = F.array_remove(F.array(*marks), none)
     return df.where(reduce(or_, conditions.values())).withColumn("failed_rules", ids)
 
 
