@@ -1,0 +1,77 @@
+"""Small sample tables with known results, in the shape of the CSV feeds."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from starloom.sources import schemas
+
+# Sample rows whose report totals are known.
+CUSTOMERS = """1,C001,Arjun Mehta,M,34,Mumbai,Maharashtra,India,2026-01-01,true
+2,C002,Neha Sharma,F,29,Delhi,Delhi,India,2026-01-15,true
+3,C003,Rahul Verma,M,41,Bangalore,Karnataka,India,2026-02-01,true
+4,C004,Priya Singh,F,36,Lucknow,Uttar Pradesh,India,2026-02-17,true
+5,C005,Amit Patel,M,45,Ahmedabad,Gujarat,India,2026-03-01,true"""
+LATE_CUSTOMERS = """6,C0011,Adam Tylor,M,38,Mumbai,Maharashtra,India,2026-03-31,true
+7,C0022,Jen Zigler,F,31,Delhi,Delhi,India,2026-03-31,true
+8,C0033,Tom Hardy,M,34,Bangalore,Karnataka,India,2026-03-31,true"""
+PRODUCTS = """1,P001,iPhone 14,Electronics,Mobile,Apple,80000,2025-01-01,true
+2,P002,Galaxy S23,Electronics,Mobile,Samsung,75000,2025-01-05,true
+3,P003,MacBook Air,Electronics,Laptop,Apple,120000,2025-02-15,true
+4,P004,Sony Headphones,Electronics,Audio,Sony,15000,2025-03-29,true
+5,P005,Office Chair,Furniture,Seating,Godrej,7000,2025-03-31,true"""
+LATE_PRODUCTS = """6,P0011,iPhone 16,Electronics,Mobile,Apple,80000,2026-03-31,true
+7,P0022,Galaxy S52,Electronics,Mobile,Samsung,75000,2026-03-31,true
+8,P0033,MacBook Pro,Electronics,Laptop,Apple,120000,2026-03-31,true"""
+ORDERS = """O1001,C001,P001,2026-01-01,1,80000,120,COMPLETED
+O1002,C002,P002,2026-01-02,2,75000,70,COMPLETED
+O1003,C003,P003,2026-01-03,1,120000,120,COMPLETED
+O1004,C004,P004,2026-01-04,3,15000,75,COMPLETED
+O1005,C005,P005,2026-01-05,2,7000,50,COMPLETED
+O1006,C001,P004,2026-01-06,1,15000,110,COMPLETED
+O1007,C002,P001,2026-01-07,1,80000,200,PENDING
+O1008,C001,P001,2026-01-08,1,80000,200,COMPLETED
+O1009,C002,P002,2026-01-09,2,75000,52,COMPLETED
+O1010,C003,P005,2026-01-10,1,120000,85,COMPLETED
+O1011,C004,P004,2026-01-11,3,15000,15,COMPLETED
+O1012,C005,P003,2026-01-12,2,7000,25,PENDING
+O1013,C001,P004,2026-01-13,1,15000,50,COMPLETED
+O1014,C003,P005,2026-01-14,1,80000,70,COMPLETED
+O1015,C004,P001,2026-01-15,3,15000,10,COMPLETED"""
+LATE_ORDERS = """O1016,C0011,P0011,2026-01-11,1,80000,120,COMPLETED
+O1017,C0022,P0022,2026-01-12,1,35000,100,COMPLETED
+O1018,C0033,P0033,2026-01-13,1,120000,110,COMPLETED"""
+NEXT_ORDERS = """O1019,C001,P001,2026-03-11,1,80000,120,COMPLETED
+O1020,C002,P002,2026-03-12,1,35000,100,COMPLETED
+O1021,C003,P003,2026-03-13,1,120000,110,COMPLETED"""
+
+
+def _typed(text: str, kind: str):
+    if kind == "INT":
+        return int(text)
+    if kind == "DOUBLE":
+        return float(text)
+    if kind == "DATE":
+        return dt.date.fromisoformat(text)
+    return text == "true" if kind == "BOOLEAN" else text
+
+
+def frame(spark: SparkSession, schema: str, *blocks: str) -> DataFrame:
+    kinds = [field.split()[-1] for field in schema.split(",")]
+    lines = [line for block in blocks for line in block.splitlines()]
+    rows = [tuple(_typed(v, k) for v, k in zip(line.split(","), kinds)) for line in lines]
+    return spark.createDataFrame(rows, schema)
+
+
+def customers(spark, late=False):
+    return frame(spark, schemas.CUSTOMER_DIM, CUSTOMERS, *([LATE_CUSTOMERS] if late else []))
+
+
+def products(spark, late=False):
+    return frame(spark, schemas.PRODUCT_DIM, PRODUCTS, *([LATE_PRODUCTS] if late else []))
+
+
+def orders(spark, *blocks):
+    return frame(spark, schemas.ORDER_DETAILS, *(blocks or (ORDERS,)))
