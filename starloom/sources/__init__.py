@@ -2,6 +2,7 @@ from starloom.sources import schemas
 from starloom.sources.files import (
     partition_column,
     read_csv,
+    read_dimension,
     read_table_list,
     write_csv,
     write_dimension,
@@ -12,6 +13,7 @@ __all__ = [
     "materialize",
     "partition_column",
     "read_csv",
+    "read_dimension",
     "read_table_list",
     "schemas",
     "scratch_path",

@@ -33,6 +33,16 @@ def write_dimension(df: DataFrame, path: str, current_flag: str = "is_current")
     df.write.mode("errorifexists").partitionBy(current_flag).parquet(path)
 
 
+def read_dimension(spark: SparkSession, path: str, current_flag: str = "is_current") -> DataFrame:
+    """A dimension as :func:`write_dimension` left it.
+
+    Partition values come back from directory names as text; filters on the
+    flag, a cast of it, still prune directories.
+    """
+    stored = spark.read.parquet(path)
+    return stored.withColumn(current_flag, stored[current_flag].cast("boolean"))
+
+
 def read_table_list(spark: SparkSession, path: str) -> list[str]:
     """Table names from the first column of a control CSV with a header."""
     listed = spark.read.option("header", True).csv(path)

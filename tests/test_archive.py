@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators import archive
+
+START, END = dt.date(1997, 10, 1), dt.date(1997, 12, 31)
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    """One order every six hours around the last quarter of 1997."""
+    moment = F.expr("timestamp_ntz'1997-09-25 00:00:00' + make_dt_interval(0, 6 * id)")
+    return spark.range(500).select(
+        "id", moment.alias("at"), moment.cast("date").alias("day"),
+        F.create_map(F.lit("k"), F.col("id")).alias("m"),
+    )
+
+
+def test_names_are_built_from_parts():
+    assert archive.archive_name("my_copy", "copy", START, END) == "my_copy_copy_19971001_19971231"
+    assert archive.archive_name("t", "snapshot", START, END) == "t_snapshot_19971001_19971231"
+    with pytest.raises(ValueError):
+        archive.archive_name("t", "clone", START, END)
+
+
+def test_quarter_is_inclusive_to_its_last_hour(orders):
+    kept = archive.rows_between(orders, "at", START, END)
+    assert kept.agg(F.min("at"), F.max("at")).head()[:] == (
+        dt.datetime(1997, 10, 1), dt.datetime(1997, 12, 31, 18),
+    )
+    assert kept.count() == 92 * 4
+    assert archive.rows_between(orders, "day", START, END).count() == 92 * 4
+
+
+def test_filter_reaches_the_scan(orders, scratch, spark, capsys):
+    orders.write.parquet(f"{scratch}/t")
+    stored = spark.read.parquet(f"{scratch}/t")
+    archive.rows_between(stored, "at", START, END).explain()
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(at,1997-10-01T00:00)" in plan
+    assert "LessThan(at,1998-01-01T00:00)" in plan
+
+
+def test_archive_once_and_manifest(orders, scratch, spark):
+    done = archive.archive_quarter(orders, "orders", "at", "1998-02-10", scratch)
+    assert (done.start, done.end) == (START, END)
+    with pytest.raises(Exception, match="already exists"):
+        archive.archive_quarter(orders, "orders", "at", "1998-02-10", scratch)
+    manifest = archive.archive_manifest(spark, [done], "1998-02-10")
+    row = manifest.head()
+    assert row["archive_name"] == "orders_snapshot_19971001_19971231"
+    assert row["row_count"] == 368
+    assert row["expires_at"] == dt.datetime(1999, 2, 10)
+    kept = archive.rows_between(orders, "at", START, END)
+    assert row["checksum"] == kept.repartition(7).agg(archive.checksum(kept)).head()[0]
+    changed = kept.withColumn("id", F.when(F.col("id") == 99, 98).otherwise(F.col("id")))
+    assert row["checksum"] != changed.agg(archive.checksum(changed)).head()[0]
+    assert archive.expired_archives(manifest, "1999-02-09").count() == 0
+    assert archive.expired_archives(manifest, dt.datetime(1999, 2, 10)).count() == 1
+
+
+def test_working_copy_can_be_replaced_and_dropped(orders, scratch):
+    copies = [
+        archive.archive_quarter(orders, "orders", "at", "1998-02-10", scratch, kind="copy")
+        for _ in range(2)
+    ][:1]
+    assert archive.droppable_copies(copies, []) == []
+    done = archive.archive_quarter(orders, "orders", "at", "1998-02-10", scratch)
+    assert archive.droppable_copies(copies, [done]) == copies
+
+
+def test_partitioned_archive(orders, scratch, spark):
+    done = archive.archive_quarter(
+        orders, "orders", "day", "1998-02-10", scratch, partition_by="day"
+    )
+    assert spark.read.parquet(done.path).select("day").distinct().count() == 92
+
+
+def test_catalog_tables_by_partition_column(orders, scratch, spark):
+    spark.sql("create database if not exists arch")
+    try:
+        orders.drop("m").write.partitionBy("day").option("path", f"{scratch}/by_day").saveAsTable(
+            "arch.by_day"
+        )
+        orders.drop("m").write.option("path", f"{scratch}/plain").saveAsTable("arch.plain")
+        tables = ["arch.by_day", "arch.plain"]
+        with pytest.raises(ValueError, match="partition columns"):
+            archive.archive_tables(spark, tables, "1998-02-10", f"{scratch}/out")
+        done = archive.archive_tables(
+            spark, tables, "1998-02-10", f"{scratch}/out2", {"arch.plain": "at"}
+        )
+        manifest = archive.archive_manifest(spark, done, "1998-02-10", retention_days=1)
+        assert [row["row_count"] for row in manifest.collect()] == [368, 368]
+    finally:
+        spark.sql("drop database arch cascade")
