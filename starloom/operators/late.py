@@ -13,8 +13,9 @@ from functools import reduce
 from operator import and_
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.dates import date_column
 from starloom.operators.star import DimensionKey, load_fact
@@ -66,54 +67,63 @@ def retry_suspended(suspended: DataFrame, keys: Sequence[DimensionKey]) -> DataF
 
 def next_cycle(
     new_raw: DataFrame,
-    suspended: DataFrame,
+    suspended: DataFrame | None,
     keys: Sequence[DimensionKey],
     first_seen: str | dt.date | Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """New facts and released ones without exact duplicates; and what still waits.
+    """New facts and released ones that are complete; and what still waits.
 
     The second frame replaces the suspense table: it holds the waiting facts
     that stay incomplete and the incomplete new ones, so nothing is released
-    twice. New and waiting facts share one pass through the required lookups.
+    twice.
     """
-    resolved = resolve_cycle(new_raw, suspended, keys, first_seen)
-    return split_cycle(resolved)
+    return split_cycle(resolve_cycle(new_raw, suspended, keys, first_seen))
 
 
 def resolve_cycle(
     new_raw: DataFrame,
-    suspended: DataFrame,
+    suspended: DataFrame | None,
     keys: Sequence[DimensionKey],
     first_seen: str | dt.date | Column | None = None,
 ) -> DataFrame:
-    """Both cycles' facts looked up and flagged, in one frame.
+    """A cycle's new and waiting facts, looked up and flagged, exact copies once.
 
-    A load that writes this once, partitioned by ``processed_flag``, reads ready
-    and suspended facts from it by partition instead of joining for each.
+    Both share one pass through the required lookups. Copies are dropped within
+    each task before the rest is shuffled. A cycle that needs ready and
+    suspended facts should write this frame once, see :func:`land_cycle`.
     """
     required = [key for key in keys if key.required]
     optional = [key for key in keys if not key.required]
     names = [key.sk for key in required]
-    waiting = suspended.where(~F.col(PROCESSED)).drop(*names, PROCESSED)
-    fresh = load_fact(new_raw, optional, mode="suspend")
-    if FIRST_SEEN in suspended.columns:
-        fresh = fresh.withColumn(FIRST_SEEN, date_column(first_seen))
-    candidates = fresh.unionByName(waiting)
+    candidates = load_fact(new_raw, optional, mode="suspend")
+    if first_seen is not None:
+        candidates = candidates.withColumn(FIRST_SEEN, date_column(first_seen))
+    if suspended is not None:
+        waiting = suspended.where(~F.col(PROCESSED)).drop(*names, PROCESSED)
+        candidates = candidates.unionByName(waiting)
     found = flag_processed(load_fact(candidates, required, mode="suspend"), names)
-    return found.select(*suspended.columns)
+    if suspended is not None:
+        found = found.select(*suspended.columns)
+    if FIRST_SEEN not in found.columns:
+        return found.dropDuplicates()
+    same = [name for name in found.columns if name != FIRST_SEEN]
+    return found.groupBy(*same).agg(F.min(FIRST_SEEN).alias(FIRST_SEEN)).select(*found.columns)
 
 
 def split_cycle(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ready facts without exact duplicates, and those that stay suspended.
-
-    Copies are dropped within each task before the rest is shuffled.
-    """
-    ready = resolved.where(PROCESSED).drop(PROCESSED, FIRST_SEEN).dropDuplicates()
+    """Ready facts of a resolved cycle, and those that stay suspended."""
+    ready = resolved.where(PROCESSED).drop(PROCESSED, FIRST_SEEN)
     return ready, resolved.where(~F.col(PROCESSED))
 
 
-def land_cycle(resolved: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Write a resolved cycle to a new directory once, then split it from there."""
-    resolved.write.mode("errorifexists").partitionBy(PROCESSED).parquet(path)
-    stored = resolved.sparkSession.read.schema(resolved.schema).parquet(path)
-    return split_cycle(stored.select(*resolved.columns))
+def land_cycle(
+    resolved: DataFrame, path: str, mode: str = "errorifexists"
+) -> tuple[DataFrame, DataFrame]:
+    """Write a resolved cycle once, then split it by reading its partitions."""
+    resolved.write.mode(mode).partitionBy(PROCESSED).parquet(path)
+    return split_cycle(stored_cycle(resolved.sparkSession, path, resolved.schema))
+
+
+def stored_cycle(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A landed cycle as it was resolved."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

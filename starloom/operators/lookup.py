@@ -49,6 +49,9 @@ class Lookup:
     beforehand (a calendar between two dates) that makes measuring needless.
     ``skewed`` is False if the large table, too, has one row per key. Repeated
     keys raise if ``check_unique``; else the caller vouches for them.
+
+    ``keys_from`` is a frame to look for frequent keys in, under the large
+    table's column names, for when that is itself a join too dear to run twice.
     """
 
     table: DataFrame
@@ -58,6 +61,7 @@ class Lookup:
     max_rows: int | None = None
     skewed: bool = True
     check_unique: bool = False
+    keys_from: DataFrame | None = None
 
     def __post_init__(self) -> None:
         if self.how not in ("left", "inner"):
@@ -79,12 +83,12 @@ def resolve(
         _check(rows, lookup)
     small = _within(lookups, broadcast_bytes)
     salted = [lk for lk, fits in zip(lookups, small) if lk.skewed and not fits]
-    hot = iter(hot_keys(rows, [list(lookup.on) for lookup in salted], hot_rows))
+    hot = _hot_by_lookup(rows, salted, hot_rows)
     for lookup, fits in zip(lookups, small):
         if fits or not lookup.skewed:
             rows = _plain_join(rows, lookup, broadcast=fits)
         else:
-            rows = _salted_join(rows, lookup, next(hot))
+            rows = _salted_join(rows, lookup, hot[id(lookup)])
     return rows
 
 
@@ -120,6 +124,21 @@ def hot_keys(
     ]
 
 
+def _hot_by_lookup(
+    rows: DataFrame, lookups: Sequence[Lookup], hot_rows: int
+) -> dict[int, list[int]]:
+    """Hot keys of each lookup; those read from ``rows`` share one scan."""
+    hot = {}
+    shared = [lookup for lookup in lookups if lookup.keys_from is None]
+    apart = [[lookup] for lookup in lookups if lookup.keys_from is not None]
+    for group in [shared, *apart]:
+        if group:
+            source = rows if group is shared else group[0].keys_from
+            found = hot_keys(source, [list(lookup.on) for lookup in group], hot_rows)
+            hot.update((id(lookup), keys) for lookup, keys in zip(group, found))
+    return hot
+
+
 def _check(rows: DataFrame, lookup: Lookup) -> None:
     clash = set(rows.columns) & set(lookup.take)
     if clash:
@@ -221,38 +240,36 @@ def _plain_join(rows: DataFrame, lookup: Lookup, broadcast: bool) -> DataFrame:
 def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
     table, pairs = _renamed(lookup, rows)
     keys, names = [left for left, _ in pairs], [name for _, name in pairs]
-    # Inside a struct NULL equals NULL, so NULL keys go before they get there.
-    table = table.where(reduce(and_, [F.col(name).isNotNull() for name in names]))
 
     # Rows that the shuffle cannot or need not match get a salt of their own.
     # It repeats when a lost task is redone, and the partition number spreads
-    # even exact copies of one row. Key and salt form one struct: apart, the
-    # table side's constant salt would be folded out of the join keys.
+    # even exact copies of one row. The salt joins as a hash with the key: a
+    # constant on the table's side would be folded out of the join keys, and
+    # the hot rows sent to one task after all.
     hashable = [f.name for f in rows.schema.fields if not _has_map(f.dataType)]
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in hashable])
     alone = reduce(or_, [F.col(key).isNull() for key in keys])
     if hot:
         alone = alone | _key_hash(keys).isin(hot)
     unsalted = F.lit(0).cast("long")
-    salt = F.when(alone, spread).otherwise(unsalted)
     salted = rows.withColumn(
-        "__at",
-        F.struct(*[F.col(key).alias(n) for key, n in zip(keys, names)], salt.alias("salt")),
+        "__at", F.xxhash64(*[F.col(key) for key in keys], F.when(alone, spread).otherwise(unsalted))
     )
-
     cold = table.select(
-        F.struct(*names, unsalted.alias("salt")).alias("__cold"),
+        *[F.col(name).alias(f"__cold_{name}") for name in names],
+        F.xxhash64(*[F.col(name) for name in names], unsalted).alias("__cold_at"),
         *[F.col(column).alias(f"__cold_{column}") for column in lookup.take],
     )
-    joined = salted.join(cold, F.col("__at") == F.col("__cold"), "left")
-    found = F.col("__cold").isNotNull()
+    matches = [F.col(key) == F.col(f"__cold_{name}") for key, name in zip(keys, names)]
+    joined = salted.join(cold, reduce(and_, matches) & (F.col("__at") == F.col("__cold_at")), "left")
+    found = F.col("__cold_at").isNotNull()
     fetched = {column: F.col(f"__cold_{column}") for column in lookup.take}
     if hot:
         few = table.where(_key_hash(names).isin(hot)).select(
             *names, *[F.col(column).alias(f"__hot_{column}") for column in lookup.take]
         )
-        matches = reduce(and_, [F.col(key) == F.col(name) for key, name in zip(keys, names)])
-        joined = joined.join(F.broadcast(few), matches, "left")
+        matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
+        joined = joined.join(F.broadcast(few), reduce(and_, matches), "left")
         found = found | F.col(names[0]).isNotNull()
         fetched = {c: F.coalesce(F.col(f"__hot_{c}"), cold_c) for c, cold_c in fetched.items()}
     if lookup.how == "inner":

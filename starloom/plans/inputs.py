@@ -116,9 +116,12 @@ def dimension_keys(spark: SparkSession, sf_dir: str, late_arrived: bool) -> list
     if not late_arrived:
         customers = customers.where(F.col("segment") != LATE_SEGMENT)
         products = products.where(F.col("category") != LATE_TYPE)
+    # Facts are a join of their own; how often a key occurs shows in its table.
+    ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer_id"))
+    bought = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"))
     return [
-        DimensionKey(customers, "customer_id", "customer_sk"),
-        DimensionKey(products, "product_id", "product_sk"),
+        DimensionKey(customers, "customer_id", "customer_sk", unique=True, keys_from=ordered),
+        DimensionKey(products, "product_id", "product_sk", unique=True, keys_from=bought),
         DimensionKey(
             date_dimension(spark, *CALENDAR),
             "calendar_date",
@@ -126,6 +129,7 @@ def dimension_keys(spark: SparkSession, sf_dir: str, late_arrived: bool) -> list
             fact_key="date_id",
             active=None,
             required=False,
+            unique=True,
             max_rows=days_between(*CALENDAR),
         ),
     ]

@@ -284,7 +284,7 @@ union
 select {LATE_COLUMNS} from retried where not {MISSING}""",
     "late_still_suspended": f"""{LATE}
 select {LATE_COLUMNS}, false as processed_flag from newer where {MISSING}
-union all
+union
 select {LATE_COLUMNS}, false as processed_flag from retried where {MISSING}""",
     "dq_completeness": _rules(1),
     "dq_regex": _rules(2),

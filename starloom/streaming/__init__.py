@@ -1,0 +1,3 @@
+from starloom.streaming.late_feed import released_facts, start_late_feed
+
+__all__ = ["released_facts", "start_late_feed"]
