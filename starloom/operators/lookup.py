@@ -241,20 +241,18 @@ def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
     table, pairs = _renamed(lookup, rows)
     keys, names = [left for left, _ in pairs], [name for _, name in pairs]
 
-    # Rows that the shuffle cannot or need not match get a salt of their own.
-    # It repeats when a lost task is redone, and the partition number spreads
-    # even exact copies of one row. The salt joins as a hash with the key: a
-    # constant on the table's side would be folded out of the join keys, and
-    # the hot rows sent to one task after all.
-    hashable = [f.name for f in rows.schema.fields if not _has_map(f.dataType)]
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in hashable])
+    # Rows that the shuffle cannot or need not match are salted by the input
+    # partition they are in. That is the same when a lost task is redone, needs
+    # no other column, and divides even exact copies of one row: a task gets
+    # such rows in portions of an input partition. The salt joins as a hash
+    # with the key: a constant on the table's side would be folded out of the
+    # join keys, and the hot rows sent to one task after all.
     alone = reduce(or_, [F.col(key).isNull() for key in keys])
     if hot:
         alone = alone | _key_hash(keys).isin(hot)
-    unsalted = F.lit(0).cast("long")
-    salted = rows.withColumn(
-        "__at", F.xxhash64(*[F.col(key) for key in keys], F.when(alone, spread).otherwise(unsalted))
-    )
+    unsalted = F.lit(0)
+    salt = F.when(alone, F.spark_partition_id() + 1).otherwise(unsalted)
+    salted = rows.withColumn("__at", F.xxhash64(*[F.col(key) for key in keys], salt))
     cold = table.select(
         *[F.col(name).alias(f"__cold_{name}") for name in names],
         F.xxhash64(*[F.col(name) for name in names], unsalted).alias("__cold_at"),
@@ -276,10 +274,3 @@ def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
         joined = joined.where(found)
     return joined.select(*rows.columns, *[value.alias(c) for c, value in fetched.items()])
 
-
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
-    return isinstance(kind, (T.MapType, T.VariantType))
