@@ -19,7 +19,7 @@ from starloom.operators.late import (
     split_cycle,
     split_suspended,
 )
-from starloom.operators.lookup import Lookup, fits_broadcast, hot_keys, resolve
+from starloom.operators.lookup import Lookup, Skew, find_skew, fits_broadcast, resolve
 from starloom.operators.nested import replace_text_deep
 from starloom.operators.quality import (
     Rule,
@@ -56,6 +56,7 @@ __all__ = [
     "Lookup",
     "Rule",
     "ScdSpec",
+    "Skew",
     "archive_manifest",
     "archive_name",
     "archive_quarter",
@@ -77,8 +78,8 @@ __all__ = [
     "expire_changed",
     "expired_archives",
     "failing_rows",
+    "find_skew",
     "fits_broadcast",
-    "hot_keys",
     "initial_dimension",
     "key_history",
     "land_cycle",

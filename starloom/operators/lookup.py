@@ -6,11 +6,11 @@ picked from what is measured, not assumed:
 
 * a looked-up table within ``broadcast_bytes`` is broadcast, so the large table
   never moves;
-* a bigger one is joined by shuffle. Keys that own a large share of the rows,
-  and NULL keys, would land in one task, so they are spread over all tasks by a
-  salt and take their columns from a broadcast of just those keys' rows, of
-  which there are at most ``MAX_HOT_KEYS``. Adaptive execution splits whatever
-  skew is left.
+* a bigger one is joined by shuffle, with keys that own a large share of the
+  rows found first. Each of these, and NULL, would land in one task, so they
+  are spread over all tasks by a salt and take their columns from a broadcast
+  of just those keys' rows, of which there are at most ``MAX_HOT_KEYS``.
+  Adaptive execution splits whatever skew is left.
 
 Every row of the large table comes out under either strategy.
 """
@@ -40,6 +40,14 @@ SLOT_BYTES = 8
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+@dataclass(frozen=True)
+class Skew:
+    """Hashes of the keys that own many rows, and whether NULL is one of them."""
+
+    keys: tuple[int, ...] = ()
+    nulls: bool = False
+
+
 @dataclass(frozen=True)
 class Lookup:
     """What to fetch from ``table``, which has at most one row per key.
@@ -82,13 +90,13 @@ def resolve(
     for lookup in lookups:
         _check(rows, lookup)
     small = _within(lookups, broadcast_bytes)
-    salted = [lk for lk, fits in zip(lookups, small) if lk.skewed and not fits]
-    hot = _hot_by_lookup(rows, salted, hot_rows)
+    skews = _skews(rows, [lk for lk, fits in zip(lookups, small) if lk.skewed and not fits], hot_rows)
     for lookup, fits in zip(lookups, small):
-        if fits or not lookup.skewed:
+        skew = skews.get(id(lookup), Skew())
+        if skew == Skew():
             rows = _plain_join(rows, lookup, broadcast=fits)
         else:
-            rows = _salted_join(rows, lookup, hot[id(lookup)])
+            rows = _salted_join(rows, lookup, skew)
     return rows
 
 
@@ -100,43 +108,42 @@ def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
     return [size <= limit for size, _ in _measured([(table, ()) for table in tables])]
 
 
-def hot_keys(
+def find_skew(
     rows: DataFrame, key_lists: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS
-) -> list[list[int]]:
-    """Hashes of the key values that own a large share of ``rows``, per key.
+) -> list[Skew]:
+    """The key values that own a large share of ``rows``, for each of several keys.
 
     One scan of the key columns feeds mergeable frequent-item sketches, so no
     key is shuffled. The sketch only steers the physical plan: a key missed or
     named in error changes no result.
     """
-    if not key_lists:
-        return []
     hashes = [_key_hash(keys).alias(f"h{i}") for i, keys in enumerate(key_lists)]
-    sketches = [
-        F.expr(f"approx_top_k(h{i}, {MAX_HOT_KEYS}, {SKETCH_COUNTERS})").alias(f"top{i}")
-        for i in range(len(key_lists))
-    ]
+    sketches = []
+    for i in range(len(key_lists)):
+        top = F.expr(f"approx_top_k(h{i}, {MAX_HOT_KEYS}, {SKETCH_COUNTERS})")
+        sketches += [top.alias(f"top{i}"), F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}")]
     found = rows.select(*hashes).agg(F.count(F.lit(1)).alias("rows"), *sketches).head()
     floor = max(hot_rows, found["rows"] * HOT_SHARE)
-    return [
-        [item["item"] for item in found[f"top{i}"] or [] if item["item"] is not None and item["count"] >= floor]
-        for i in range(len(key_lists))
-    ]
+    skews = []
+    for i in range(len(key_lists)):
+        often = [item["item"] for item in found[f"top{i}"] or [] if item["count"] >= floor]
+        skews.append(
+            Skew(tuple(key for key in often if key is not None), found[f"nulls{i}"] >= floor)
+        )
+    return skews
 
 
-def _hot_by_lookup(
-    rows: DataFrame, lookups: Sequence[Lookup], hot_rows: int
-) -> dict[int, list[int]]:
-    """Hot keys of each lookup; those read from ``rows`` share one scan."""
-    hot = {}
+def _skews(rows: DataFrame, lookups: Sequence[Lookup], hot_rows: int) -> dict[int, Skew]:
+    """Skew of each lookup by its id; those read from ``rows`` share one scan."""
+    skews = {}
     shared = [lookup for lookup in lookups if lookup.keys_from is None]
     apart = [[lookup] for lookup in lookups if lookup.keys_from is not None]
     for group in [shared, *apart]:
         if group:
             source = rows if group is shared else group[0].keys_from
-            found = hot_keys(source, [list(lookup.on) for lookup in group], hot_rows)
-            hot.update((id(lookup), keys) for lookup, keys in zip(group, found))
-    return hot
+            found = find_skew(source, [list(lookup.on) for lookup in group], hot_rows)
+            skews.update((id(lookup), skew) for lookup, skew in zip(group, found))
+    return skews
 
 
 def _check(rows: DataFrame, lookup: Lookup) -> None:
@@ -237,7 +244,7 @@ def _plain_join(rows: DataFrame, lookup: Lookup, broadcast: bool) -> DataFrame:
     return rows.join(table, matches, lookup.how).drop(*[name for _, name in pairs])
 
 
-def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
+def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
     table, pairs = _renamed(lookup, rows)
     keys, names = [left for left, _ in pairs], [name for _, name in pairs]
 
@@ -248,8 +255,8 @@ def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
     # with the key: a constant on the table's side would be folded out of the
     # join keys, and the hot rows sent to one task after all.
     alone = reduce(or_, [F.col(key).isNull() for key in keys])
-    if hot:
-        alone = alone | _key_hash(keys).isin(hot)
+    if skew.keys:
+        alone = alone | _key_hash(keys).isin(*skew.keys)
     unsalted = F.lit(0)
     salt = F.when(alone, F.spark_partition_id() + 1).otherwise(unsalted)
     salted = rows.withColumn("__at", F.xxhash64(*[F.col(key) for key in keys], salt))
@@ -262,8 +269,8 @@ def _salted_join(rows: DataFrame, lookup: Lookup, hot: list[int]) -> DataFrame:
     joined = salted.join(cold, reduce(and_, matches) & (F.col("__at") == F.col("__cold_at")), "left")
     found = F.col("__cold_at").isNotNull()
     fetched = {column: F.col(f"__cold_{column}") for column in lookup.take}
-    if hot:
-        few = table.where(_key_hash(names).isin(hot)).select(
+    if skew.keys:
+        few = table.where(_key_hash(names).isin(*skew.keys)).select(
             *names, *[F.col(column).alias(f"__hot_{column}") for column in lookup.take]
         )
         matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import Lookup, fits_broadcast, hot_keys, resolve
+from starloom.operators.lookup import Lookup, Skew, find_skew, fits_broadcast, resolve
 
 
 @pytest.fixture(scope="module")
@@ -46,10 +46,17 @@ def test_both_strategies_give_the_plain_join(facts, dim, how, hot_rows, no_auto_
         assert salted.count() == facts.count()
 
 
-def test_hot_key_found_in_one_sketch(facts, spark):
-    hot = hot_keys(facts, [["k"], ["id"]], hot_rows=5000)
-    expected = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).head()[0]
-    assert hot == [[expected], []]
+def test_skew_found_in_one_sketch(facts, spark):
+    found = find_skew(facts, [["k"], ["id"]], hot_rows=5000)
+    seven = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).head()[0]
+    assert found == [Skew((seven,), nulls=True), Skew()]
+
+
+def test_even_keys_are_not_salted(facts, dim, capsys, no_auto_broadcast):
+    resolve(facts, [Lookup(dim, {"id": "key"}, ["name"])], 0, hot_rows=1000).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan
+    assert "SPARK_PARTITION_ID" not in plan
 
 
 def test_hot_and_null_keys_are_spread(spark, facts, dim, no_auto_broadcast):
@@ -100,12 +107,13 @@ def test_size_counts_text(spark):
 
 def test_composite_and_mixed_width_keys(spark, no_auto_broadcast):
     facts = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "x INT, y STRING")
+    keys_of = spark.range(10).select(F.lit(1).alias("x"), F.lit("a").alias("y"))
     dim = spark.createDataFrame(
         [(1, "a", 10), (2, "b", 20), (2**40, "a", 30), (1, None, 40)], "dx LONG, dy STRING, v INT"
     )
-    lookup = Lookup(dim, {"x": "dx", "y": "dy"}, ["v"])
-    for limit in (0, 10**6):
-        found = resolve(facts, [lookup], broadcast_bytes=limit).collect()
+    lookup = Lookup(dim, {"x": "dx", "y": "dy"}, ["v"], keys_from=keys_of)
+    for limit, hot_rows in ((0, 5), (0, 10**9), (10**6, 5)):
+        found = resolve(facts, [lookup], limit, hot_rows).collect()
         assert sorted(row["v"] or 0 for row in found) == [0, 10, 20]
 
 
