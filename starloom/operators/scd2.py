@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -239,10 +240,12 @@ def _require_business_keys(rows: DataFrame, keys: Sequence[str]) -> None:
 
     Only the key columns are read, and counted before they are shuffled.
     """
-    wrong = F.col("n") > 1
-    for key in keys:
-        wrong = wrong | F.col(key).isNull()
-    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(wrong).head(3)
-    if found:
-        shown = [tuple(row[key] for key in keys) for row in found]
-        raise ValueError(f"business key {list(keys)} is NULL or repeated, as in {shown}")
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    unknown = reduce(or_, [F.col(key).isNull() for key in keys])
+    most, unkeyed = per_key.agg(
+        F.max("n"), F.coalesce(F.sum(F.when(unknown, F.col("n"))), F.lit(0))
+    ).head()
+    if unkeyed or (most or 0) > 1:
+        raise ValueError(
+            f"business key {list(keys)} is NULL in {unkeyed} rows and occurs up to {most} times"
+        )
