@@ -1,4 +1,4 @@
-from starloom.functions.compare import any_differs
+from starloom.functions.compare import any_differs, row_hash
 from starloom.functions.dates import (
     OPEN_END,
     as_date,
@@ -23,4 +23,5 @@ __all__ = [
     "previous_quarter",
     "previous_quarter_dates",
     "replace_text",
+    "row_hash",
 ]

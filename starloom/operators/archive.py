@@ -16,8 +16,8 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from starloom.functions.compare import row_hash
 from starloom.functions.dates import as_date, previous_quarter_dates
 from starloom.sources.files import partition_column
 
@@ -140,12 +140,7 @@ def archive_manifest(
 
 def checksum(df: DataFrame) -> Column:
     """Sum of row hashes: equal for equal rows in any order and partitioning."""
-    columns = []
-    for column in sorted(df.schema.fields, key=lambda f: f.name):
-        value = F.col(column.name)
-        is_map = isinstance(column.dataType, T.MapType)
-        columns.append(F.array_sort(F.map_entries(value)) if is_map else value)
-    total = F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
+    total = F.sum(row_hash(df).cast("decimal(20,0)"))
     return F.coalesce(total, F.lit(0)).cast("decimal(38,0)")
 
 

@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.compare import row_hash
 from starloom.sources.scratch import materialize
 
 # monotonically_increasing_id puts the partition number above this many bits
@@ -43,7 +44,7 @@ def assign_surrogate_keys(
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     ties = ["__tie", "__origin"]
     ranged = (
-        df.withColumn("__tie", F.xxhash64(*df.columns))
+        df.withColumn("__tie", row_hash(df))
         .withColumn("__origin", F.spark_partition_id())
         .repartitionByRange(*order, *ties)
         .sortWithinPartitions(*order, *ties)

@@ -27,12 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HOT_KEYS = 1000
 # Keys with fewer rows, or a smaller share of them, are left to the shuffle.
 HOT_ROWS = 100_000
-HOT_SHARE = 1e-4
-# Counters of the heavy-hitter sketch: its error stays below HOT_SHARE.
-SKETCH_COUNTERS = 65_536
+HOT_SHARE = 1e-3
+# So there cannot be more keys with that share than this.
+MAX_HOT_KEYS = 1000
+# Counters of the frequent-item sketch: its error stays below HOT_SHARE. Tasks'
+# sketches are merged in this many groups first, not all in one task.
+SKETCH_COUNTERS = 8192
+SKETCH_GROUPS = 256
 # Row header plus hash-map entry of a broadcast row, and one field slot.
 ROW_BYTES = 32
 SLOT_BYTES = 8
@@ -117,22 +120,39 @@ def find_skew(
     key is shuffled. The sketch only steers the physical plan: a key missed or
     named in error changes no result.
     """
+    count = range(len(key_lists))
     hashes = [_key_hash(keys).alias(f"h{i}") for i, keys in enumerate(key_lists)]
-    sketches = []
-    for i in range(len(key_lists)):
-        top = F.expr(f"approx_top_k(h{i}, {MAX_HOT_KEYS}, {SKETCH_COUNTERS})")
-        sketches += [top.alias(f"top{i}"), F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}")]
-    found = rows.select(*hashes).agg(F.count(F.lit(1)).alias("rows"), *sketches).head()
+    grouped = rows.select(
+        *hashes, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
+    ).groupBy("g")
+    partial = grouped.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(f"h{i}").isNull()).alias(f"nulls{i}") for i in count],
+        *[_sketch("accumulate", f"h{i}", SKETCH_COUNTERS).alias(f"s{i}") for i in count],
+    )
+    merged = partial.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        *[F.sum(f"nulls{i}").alias(f"nulls{i}") for i in count],
+        *[_sketch("combine", f"s{i}", SKETCH_COUNTERS).alias(f"s{i}") for i in count],
+    )
+    found = merged.select(
+        "rows",
+        *[f"nulls{i}" for i in count],
+        *[_sketch("estimate", f"s{i}", MAX_HOT_KEYS).alias(f"top{i}") for i in count],
+    ).head()
     floor = max(hot_rows, found["rows"] * HOT_SHARE)
     skews = []
-    for i in range(len(key_lists)):
+    for i in count:
         often = [item["item"] for item in found[f"top{i}"] or [] if item["count"] >= floor]
-        skews.append(
-            Skew(tuple(key for key in often if key is not None), found[f"nulls{i}"] >= floor)
-        )
+        nulls = (found[f"nulls{i}"] or 0) >= floor
+        skews.append(Skew(tuple(key for key in often if key is not None), nulls))
     return skews
 
 
+def _sketch(step: str, column: str, size: int) -> Column:
+    return F.expr(f"approx_top_k_{step}({column}, {size})")
+
+
 def _skews(rows: DataFrame, lookups: Sequence[Lookup], hot_rows: int) -> dict[int, Skew]:
     """Skew of each lookup by its id; those read from ``rows`` share one scan."""
     skews = {}

@@ -4,6 +4,7 @@ from starloom.sources.files import (
     read_csv,
     read_dimension,
     read_table_list,
+    save_dimension,
     write_csv,
     write_dimension,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "read_csv",
     "read_dimension",
     "read_table_list",
+    "save_dimension",
     "schemas",
     "scratch_path",
     "scratch_root",

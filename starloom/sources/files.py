@@ -33,6 +33,25 @@ def write_dimension(df: DataFrame, path: str, current_flag: str = "is_current")
     df.write.mode("errorifexists").partitionBy(current_flag).parquet(path)
 
 
+def save_dimension(
+    df: DataFrame, name: str, key: str, buckets: int, current_flag: str = "is_current"
+) -> None:
+    """One version of a dimension as a new catalog table, bucketed by ``key``.
+
+    The next load then joins its snapshot to the current rows without shuffling
+    the dimension. Rows are brought together by bucket before they are written,
+    which makes one file per bucket and flag.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("errorifexists")
+        .partitionBy(current_flag)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(name)
+    )
+
+
 def read_dimension(spark: SparkSession, path: str, current_flag: str = "is_current") -> DataFrame:
     """A dimension as :func:`write_dimension` left it.
 

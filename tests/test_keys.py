@@ -58,3 +58,9 @@ def test_continues_after_the_highest_key(spark):
 
 def test_no_rows(spark):
     assert assign_surrogate_keys(spark.range(0), "id", sk="sk").count() == 0
+
+
+def test_rows_with_maps(spark):
+    rows = spark.range(10).select("id", F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    numbered = assign_surrogate_keys(rows, "id", sk="sk").orderBy("id").collect()
+    assert [(row["sk"], row["m"]["k"]) for row in numbered] == [(i + 1, i) for i in range(10)]

@@ -6,7 +6,7 @@ import pytest
 
 from starloom.operators import scd2
 from starloom.operators.scd2 import ScdSpec
-from starloom.sources import read_dimension, write_dimension
+from starloom.sources import read_dimension, save_dimension, write_dimension
 
 SPEC = ScdSpec(
     rename={
@@ -198,3 +198,23 @@ def test_dimension_on_disk(spark, jan, feb, scratch, capsys):
     assert scd2.current_rows(read).count() == 5
     scd2.current_rows(read).explain()
     assert "PartitionFilters: [isnotnull(is_current" in capsys.readouterr().out
+
+
+def test_bucketed_dimension_is_not_shuffled(spark, jan, feb, capsys):
+    spark.sql("create database if not exists dims")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        save_dimension(scd2.initial_dimension(jan, SPEC, JAN), "dims.v1", SPEC.key, 4)
+        stored = spark.table("dims.v1")
+        loaded = by_version(scd2.scd2_apply(stored, feb, SPEC, FEB))
+        assert loaded == by_version(
+            scd2.scd2_apply(scd2.initial_dimension(jan, SPEC, JAN), feb, SPEC, FEB)
+        )
+        capsys.readouterr()
+        scd2.classify_changes(feb, stored, SPEC).explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop database dims cascade")
