@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ def exact_sum(df: DataFrame, value: Column) -> Column:
 
     Adding doubles gives results that vary with task order. They are summed as
     whole units of 10**-MONEY_SCALE in a decimal wide enough not to overflow;
-    integers and decimals are exact already.
+    integers and decimals are exact already. NaN is no amount and fails.
     """
     if not _is_fractional(df, value):
         return F.sum(value)
@@ -32,7 +34,7 @@ def exact_avg(df: DataFrame, value: Column) -> Column:
     return exact_sum(df, value).cast("double") / F.count(value)
 
 
-def partial_sum(df: DataFrame, value: Column) -> tuple[Column, "callable"]:
+def partial_sum(df: DataFrame, value: Column) -> tuple[Column, Callable[[Column], Column]]:
     """First-stage sum of ``value`` and how to finish it over those sums.
 
     For aggregations in two steps: the first column goes into the inner
@@ -44,7 +46,12 @@ def partial_sum(df: DataFrame, value: Column) -> tuple[Column, "callable"]:
 
 
 def _to_units(value: Column) -> Column:
-    return F.rint(value * F.lit(float(10**MONEY_SCALE))).cast("long").cast("decimal(19,0)")
+    """Whole units as a decimal; by way of a long, which is faster, where they fit."""
+    units = F.rint(value * F.lit(float(10**MONEY_SCALE)))
+    fits = F.abs(units) < F.lit(float(10**18))
+    return F.when(fits, units.cast("long").cast("decimal(38,0)")).otherwise(
+        units.cast("decimal(38,0)")
+    )
 
 
 def _from_units(units: Column) -> Column:

@@ -86,10 +86,15 @@ class Lookup:
 def resolve(
     rows: DataFrame,
     lookups: Sequence[Lookup],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """``rows`` with the fetched columns of every lookup appended."""
+    """``rows`` with the fetched columns of every lookup appended.
+
+    The limits are ``BROADCAST_BYTES`` and ``HOT_ROWS`` unless given.
+    """
+    broadcast_bytes = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     for lookup in lookups:
         _check(rows, lookup)
     small = _within(lookups, broadcast_bytes)
@@ -103,11 +108,12 @@ def resolve(
     return rows
 
 
-def fits_broadcast(tables: Sequence[DataFrame], limit: int = BROADCAST_BYTES) -> list[bool]:
+def fits_broadcast(tables: Sequence[DataFrame], limit: int | None = None) -> list[bool]:
     """Measure each table's in-memory size, all in one job, against ``limit``.
 
     Rows are counted; only columns of varying length are read for their size.
     """
+    limit = BROADCAST_BYTES if limit is None else limit
     return [size <= limit for size, _ in _measured([(table, ()) for table in tables])]
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import samples
+from starloom.functions import exact_sum
 from starloom.operators import star
 from starloom.operators.calendar import date_dimension
 from starloom.operators.star import DimensionKey
@@ -122,9 +123,9 @@ def test_amount_is_an_argument(spark, fact):
 def test_sums_do_not_depend_on_order(spark):
     values = [(0.1 * i,) for i in range(10_000)]
     df = spark.createDataFrame(values, "v DOUBLE")
-    from starloom.functions import exact_sum
-
     sums = {
         df.repartition(n).agg(exact_sum(df, F.col("v"))).head()[0] for n in (1, 3, 17)
     }
     assert sums == {4999500.0}
+    large = spark.createDataFrame([(3e17,), (-3e17,), (0.25,)], "v DOUBLE")
+    assert large.agg(exact_sum(large, F.col("v"))).head()[0] == 0.25
