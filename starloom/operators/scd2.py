@@ -22,6 +22,7 @@ from starloom.functions.compare import any_differs
 from starloom.functions.dates import OPEN_END, as_date, date_column
 from starloom.operators.keys import assign_surrogate_keys, max_key
 from starloom.operators.lookup import Lookup, resolve
+from starloom.sources.scratch import materialize
 
 NEW, CHANGED, UNCHANGED = "New", "Changed", "Unchanged"
 CONTROL = ("valid_from", "valid_to", "is_current")
@@ -146,10 +147,11 @@ def scd2_apply(
     """The dimension after loading ``snapshot``; the same one if nothing changed.
 
     ``as_of`` is the first day of the new versions, by default the snapshot's
-    own date. The classifying join runs once, when called, to write the numbered
-    new versions to scratch. Current rows are then closed by looking the changed
-    keys up in that written table: a broadcast when they are few, so that the
-    dimension is read once and not shuffled. Closed versions are passed through.
+    own date. The classifying join runs once, when called, to write the new
+    versions to scratch; it takes only key and tracked columns of the dimension.
+    Current rows are then closed by looking the changed keys up in that written
+    table: a broadcast when they are few, so that whole dimension rows are not
+    shuffled. Closed versions are passed through.
     """
     if as_of is None:
         as_of = snapshot.agg(F.max(spec.snapshot_date).cast("date")).scalar()
@@ -209,8 +211,9 @@ def scd2_replay(
         .withColumn("valid_to", F.coalesce(F.date_sub(next_start, 1), F.lit(OPEN_END)))
         .select(*spec.attributes, "valid_from", "valid_to")
     )
+    written = materialize(versions, "versions")
     return (
-        assign_surrogate_keys(versions, ["valid_from", spec.key], start, spec.sk)
+        assign_surrogate_keys(written, ["valid_from", spec.key], start, spec.sk)
         .withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END))
         .select(*spec.columns)
     )
@@ -219,10 +222,14 @@ def scd2_replay(
 def _numbered_inserts(
     classified: DataFrame, spec: ScdSpec, max_sk: int | Column, extra: Sequence[str] = ()
 ) -> DataFrame:
+    """New and changed rows, numbered.
+
+    Numbering samples its input before it shuffles it. The rows, as a rule few
+    of the snapshot's, are written first, so that the join does not run twice.
+    """
     inserts = classified.where(F.col("change").isin(NEW, CHANGED))
-    return assign_surrogate_keys(
-        inserts.select(*spec.attributes, *extra), spec.key, max_sk, spec.sk
-    )
+    written = materialize(inserts.select(*spec.attributes, *extra), "inserts")
+    return assign_surrogate_keys(written, spec.key, max_sk, spec.sk)
 
 
 def _opened(numbered: DataFrame, spec: ScdSpec, valid_from: str | dt.date | Column) -> DataFrame:

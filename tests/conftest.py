@@ -18,6 +18,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("starloom-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="starloom-tests-"))
