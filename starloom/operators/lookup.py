@@ -56,10 +56,9 @@ class Lookup:
     """What to fetch from ``table``, which has at most one row per key.
 
     ``on`` maps columns of the large table to key columns of ``table``;
-    ``take`` names the columns to bring over. ``max_rows`` is a row bound known
-    beforehand (a calendar between two dates) that makes measuring needless.
-    ``skewed`` is False if the large table, too, has one row per key. Repeated
-    keys raise if ``check_unique``; else the caller vouches for them.
+    ``take`` names the columns to bring over. ``skewed`` is False if the large
+    table, too, has one row per key. Repeated keys raise if ``check_unique``;
+    else the caller vouches for them.
 
     ``keys_from`` is a frame to look for frequent keys in, under the large
     table's column names, for when that is itself a join too dear to run twice.
@@ -69,7 +68,6 @@ class Lookup:
     on: Mapping[str, str]
     take: Sequence[str] = ()
     how: str = "left"
-    max_rows: int | None = None
     skewed: bool = True
     check_unique: bool = False
     keys_from: DataFrame | None = None
@@ -183,25 +181,17 @@ def _check(rows: DataFrame, lookup: Lookup) -> None:
 
 
 def _within(lookups: Sequence[Lookup], limit: int) -> list[bool]:
-    unknown = [lookup for lookup in lookups if lookup.max_rows is None]
+    """Whether each looked-up table fits ``limit``; raises where keys repeat."""
     measured = _measured(
-        [(lk.pruned(), tuple(lk.on.values()) if lk.check_unique else ()) for lk in unknown]
+        [(lk.pruned(), tuple(lk.on.values()) if lk.check_unique else ()) for lk in lookups]
     )
-    for lookup, (_, repeats) in zip(unknown, measured):
+    for lookup, (_, repeats) in zip(lookups, measured):
         if repeats > 1:
             raise ValueError(
                 f"one value of {list(lookup.on.values())} has {repeats} rows to look up, "
                 "which would multiply the rows that hold it"
             )
-    sizes = iter(measured)
-    return [
-        (next(sizes)[0] if lookup.max_rows is None else _bound(lookup)) <= limit
-        for lookup in lookups
-    ]
-
-
-def _bound(lookup: Lookup) -> int:
-    return lookup.max_rows * (ROW_BYTES + SLOT_BYTES * (len(lookup.on) + len(lookup.take)))
+    return [size <= limit for size, _ in measured]
 
 
 def _measured(tables: Sequence[tuple[DataFrame, tuple[str, ...]]]) -> list[tuple[int, int]]:
@@ -299,6 +289,8 @@ def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
         few = table.where(_key_hash(names).isin(*skew.keys)).select(
             *names, *[F.col(column).alias(f"__hot_{column}") for column in lookup.take]
         )
+        if few.count() > MAX_HOT_KEYS:
+            raise ValueError(f"{list(lookup.on.values())} repeat, which would multiply rows")
         matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
         joined = joined.join(F.broadcast(few), reduce(and_, matches), "left")
         found = found | F.col(names[0]).isNotNull()

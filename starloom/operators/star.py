@@ -23,9 +23,8 @@ class DimensionKey:
     flag, if it has one. A date dimension is not ``required``: facts may lack
     it. With ``latest_by`` a dimension with several rows per key is reduced to
     the latest row; without, such a dimension is refused, as it would multiply
-    facts, unless ``unique`` vouches for its keys. ``max_rows`` states a known
-    bound, which saves measuring. ``keys_from`` is where to look for frequent
-    keys, see :class:`~starloom.operators.lookup.Lookup`.
+    facts, unless ``unique`` vouches for its keys. ``keys_from`` is where to look
+    for frequent keys, see :class:`~starloom.operators.lookup.Lookup`.
     """
 
     dim: DataFrame
@@ -36,7 +35,6 @@ class DimensionKey:
     required: bool = True
     latest_by: str | None = None
     unique: bool = False
-    max_rows: int | None = None
     keys_from: DataFrame | None = None
 
     @property
@@ -60,7 +58,6 @@ def load_fact(raw: DataFrame, keys: Sequence[DimensionKey], mode: str = "keep")
             {key.on: key.natural_key},
             [key.sk],
             how="inner" if mode == "active" and key.required else "left",
-            max_rows=key.max_rows,
             check_unique=key.latest_by is None and not key.unique,
             keys_from=key.keys_from,
         )

@@ -124,3 +124,9 @@ def test_repeated_keys_and_wrong_types_raise(spark, facts):
     text = twice.withColumn("key", F.col("key").cast("string"))
     with pytest.raises(TypeError, match="cast"):
         resolve(facts, [Lookup(text, {"k": "key"}, ["v"])])
+
+
+def test_repeated_hot_rows_are_not_broadcast(spark, facts):
+    many = spark.range(2000).select(F.lit(7).cast("long").alias("key"), F.col("id").alias("v"))
+    with pytest.raises(ValueError, match="multiply"):
+        resolve(facts, [Lookup(many, {"k": "key"}, ["v"])], 0, hot_rows=1000)

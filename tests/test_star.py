@@ -16,7 +16,7 @@ def keys(spark, customers=None, products=None, **options):
         DimensionKey(products or samples.products(spark), "product_id", "product_sk"),
         DimensionKey(
             date_dimension(spark), "calendar_date", "date_sk", "date_id",
-            active=None, required=False, max_rows=730,
+            active=None, required=False,
         ),
     ]
 
