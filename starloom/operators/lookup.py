@@ -164,7 +164,12 @@ def _skews(rows: DataFrame, lookups: Sequence[Lookup], hot_rows: int) -> dict[in
     apart = [[lookup] for lookup in lookups if lookup.keys_from is not None]
     for group in [shared, *apart]:
         if group:
-            source = rows if group is shared else group[0].keys_from
+            source = rows
+            if group is not shared:
+                # Hashes only compare between values of one type.
+                source = group[0].keys_from.select(
+                    *[F.col(key).cast(rows.schema[key].dataType).alias(key) for key in group[0].on]
+                )
             found = find_skew(source, [list(lookup.on) for lookup in group], hot_rows)
             skews.update((id(lookup), skew) for lookup, skew in zip(group, found))
     return skews
