@@ -1,0 +1,56 @@
+"""Small documents with every awkward case, and plain restatements to compare with."""
+
+from __future__ import annotations
+
+import re
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+
+
+def shingles(text, k=5):
+    found = words(text)
+    if len(found) < k:
+        return {tuple(found)} if found else set()
+    return {tuple(found[i : i + k]) for i in range(len(found) - k + 1)}
+
+
+def sentence(seed, n):
+    return " ".join(f"w{(seed * 7919 + i * 104729) % 99991}" for i in range(n))
+
+
+def row(doc_id, text, lang="en", source="s"):
+    return (doc_id, text, lang, source, None if text is None else len(text))
+
+
+def awkward():
+    """Nulls, empty and blank texts, ties, repeated rows, a long text, odd characters."""
+    long = sentence(5, 60_000)
+    return [
+        row(1, None),
+        row(2, ""),
+        row(3, " \t\n "),
+        row(4, "one two"),
+        row(5, "ONE\u0009two"),
+        row(6, sentence(1, 40)),
+        row(6, sentence(1, 40)),
+        row(7, sentence(1, 40), None, None),
+        row(8, sentence(1, 39) + " changed"),
+        row(9, long),
+        row(10, long + " tail"),
+        row(11, "   \U0001f600 ßİ café", "fr"),
+        row(None, sentence(2, 30)),
+        row(None, sentence(2, 30)),
+        row(None, None, None, None),
+        row(12, "x" * 50_000),
+        row(13, sentence(2, 30)),
+        row(14, sentence(3, 30)),
+        row(14, sentence(4, 30)),
+    ]
