@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import io
+
+import pyarrow as pa
+import zstandard
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from starloom.llm import warc
+from starloom.llm.queries import QUERIES
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def expected(rows, least=0):
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        same = [p for p, _, h in rows if (h or "").encode() == data]
+        last = max((p for p in same if p is not None), default=None)
+        again = len(same) > 1 and len(data) >= least and last is not None and page_id != last
+        out.append((page_id, len(data), digest, "revisit" if again else "response", last if again else None))
+    return sorted(map(repr, out))
+
+
+ROWS = [
+    (1, "http://a/", "<p>same</p>"),
+    (2, "http://b/\r\nX: y", "<p>same</p>"),
+    (3, None, None),
+    (4, "", ""),
+    (5, "http://ü/", "\u2028 é \U0001f600\r\n\r\nWARC/1.1\r\n"),
+    (6, "http://c/", "y" * 700_000),
+    (7, "http://c/", "y" * 700_000),
+    (7, "http://c/", "y" * 700_000),
+    (None, "http://d/", "<p>same</p>"),
+    (None, None, "alone"),
+]
+
+
+def round_trip(spark, rows, **options):
+    pages = spark.createDataFrame(rows, SCHEMA).withColumn("digest", F.lit(0))
+    path, index = warc.write_archives(pages, **options)
+    return path, index, warc.read_archives(path, index)
+
+
+def test_awkward_pages_come_back(spark):
+    for least in (0, 12):
+        _, _, got = round_trip(spark, ROWS, revisit_bytes=least)
+        assert sorted(repr(tuple(r)) for r in got.collect()) == expected(ROWS, least)
+
+
+def test_no_pages(spark):
+    _, index, got = round_trip(spark, [])
+    assert got.collect() == [] and index.collect() == []
+
+
+def test_single_records_by_the_index(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 40)
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 400)
+    path, index, _ = round_trip(spark, ROWS)
+    wanted = index.where("record_type = 'response'")
+    got = {r.page_id: r.html for r in warc.fetch_records(path, wanted).collect()}
+    assert got == {p: h or "" for p, _, h in ROWS if p in (2, 4, 5, 7, None)} | {None: "alone"}
+    assert wanted.select("bundle").distinct().count() > 1
+
+
+def test_bundles_are_ordinary_zstandard_streams():
+    out = io.BytesIO()
+    out.close, data = (lambda: None), [warc.record_bytes(i, "u", b"x" * i, None, False) for i in range(300)]
+    writer = warc.BundleWriter(out)
+    for record in data:
+        writer.add(record)
+    writer.close()
+    whole = zstandard.ZstdDecompressor().stream_reader(out.getvalue(), read_across_frames=True).read()
+    assert whole == b"".join(data)
+    reader = warc.BundleReader(pa.BufferReader(out.getvalue()))
+    assert sum(unpacked for _, _, unpacked in reader.frames) == len(whole)
+
+
+def test_registered_query(spark):
+    folder = str(TESTDATA / "sf0.01")
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html").collect()]
+    got = QUERIES["op4_warc"](spark, folder)
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(repr(tuple(r)) for r in got.collect()) == expected(rows)
