@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cases import SCHEMA, awkward, row, sentence
+from conftest import TESTDATA
+from starloom.llm import language
+from starloom.llm.queries import QUERIES
+
+
+def test_awkward_rows(spark):
+    docs = spark.createDataFrame(awkward(), SCHEMA).withColumn("score", F.lit("x"))
+    model = language.learn(docs)
+    assert set(model) == {"en", "fr"}
+    got = language.identify(docs, model)
+    assert got.columns == ["doc_id", "lang_pred", "score", "rejected"]
+    rows = got.collect()
+    assert len(rows) == len(awkward())
+    assert all(0 <= r.score <= 1 and r.lang_pred in ("en", "fr", "und") for r in rows)
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == {1, 2, 3, None}
+
+
+def test_nothing_to_learn_from_or_to_judge(spark):
+    docs = spark.createDataFrame([row(1, "some text"), row(2, "42 !")], SCHEMA)
+    assert language.learn(docs.withColumn("lang", F.lit(None).cast("string"))) == {}
+    assert {r.lang_pred for r in language.identify(docs, {}).collect()} == {"und"}
+    one = language.identify(docs, {"xx": b"text"}).collect()
+    assert sorted((r.doc_id, r.lang_pred) for r in one) == [(1, "xx"), (2, "und")]
+    assert language.identify(docs.limit(0), {"xx": b"text"}).collect() == []
+
+
+def test_narrow_margins_are_rejected(spark):
+    words = {"a": sentence(1, 400), "b": sentence(2, 400).replace("w", "v")}
+    texts = [row(1, words["a"][:900]), row(2, words["a"][900:1500] + words["b"][900:1500]), row(3, words["b"][:900])]
+    model = {k: v.encode() for k, v in words.items()}
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(texts, SCHEMA), model, 0.2).collect()}
+    assert (got[1].lang_pred, got[3].lang_pred) == ("a", "b")
+    assert [got[i].rejected for i in (1, 2, 3)] == [False, True, False]
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_registered_query_on_held_out_documents(spark, size):
+    folder = str(TESTDATA / size)
+    known = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = QUERIES["op7_language"](spark, folder).collect()
+    assert {r.doc_id for r in got} == set(known) and len(got) == len(known)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    right = [r.lang_pred == known[r.doc_id] for r in got if r.held_out and known[r.doc_id]]
+    assert np.mean(right) > 0.97
