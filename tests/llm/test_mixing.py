@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cases import SCHEMA, awkward, row, sentence
+from conftest import TESTDATA
+from starloom.llm import mixing
+from starloom.llm.queries import QUERIES
+
+
+def raked(rows, power, rate, sweeps):
+    """Probabilities by cell: the fitting restated over dictionaries."""
+    tokens = defaultdict(int)
+    for r in rows:
+        tokens[(r.source, r.lang, r.topic)] += r.tokens
+    total = sum(tokens.values())
+    targets = []
+    for m in range(3):
+        sums = defaultdict(float)
+        for cell, n in tokens.items():
+            sums[cell[m]] += n
+        powers = {v: n**power for v, n in sums.items()}
+        scale = rate * total / sum(powers.values()) if sum(powers.values()) else 0
+        targets.append({v: p * scale for v, p in powers.items()})
+    p = {cell: min(1.0, rate) if total else 1.0 for cell in tokens}
+    for _ in range(sweeps):
+        for m in range(3):
+            sums = defaultdict(float)
+            for cell in p:
+                sums[cell[m]] += tokens[cell] * p[cell]
+            p = {c: min(1.0, v * targets[m][c[m]] / sums[c[m]]) if sums[c[m]] > 0 else v for c, v in p.items()}
+    return tokens, targets, p
+
+
+def check(rows, power=mixing.FLATTEN, rate=mixing.RATE, sweeps=mixing.SWEEPS):
+    tokens, targets, p = raked(rows, power, rate, sweeps)
+    for r in rows:
+        assert r.probability == pytest.approx(p[(r.source, r.lang, r.topic)], rel=1e-9)
+    return tokens, targets, p
+
+
+def test_awkward_rows(spark):
+    docs = spark.createDataFrame(awkward(), SCHEMA).withColumn("kept", F.lit(0))
+    rows = mixing.weigh_documents(docs).collect()
+    assert len(rows) == len(awkward())
+    check(rows)
+    words = {(d, t): len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t, *_ in awkward()}
+    assert sorted(r.tokens for r in rows) == sorted(words[(d, t)] for d, t, *_ in awkward())
+    kept = mixing.mixed(docs)
+    assert kept.columns == docs.columns
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in rows if r.kept)
+
+
+def test_no_rows_and_no_tokens(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert mixing.weigh_documents(empty).collect() == [] and mixing.mixed(empty).collect() == []
+    rows = mixing.weigh_documents(spark.createDataFrame([row(1, None), row(2, "")], SCHEMA)).collect()
+    assert [r.probability for r in rows] == [1.0, 1.0]
+
+
+def test_margins_meet_their_targets(spark):
+    rng = np.random.default_rng(1)
+    docs = [
+        row(i, sentence(i, int(rng.integers(5, 400))), "abc"[int(rng.integers(3))], "st"[int(rng.random() < 0.2)])
+        for i in range(900)
+    ]
+    rows = mixing.weigh_documents(spark.createDataFrame(docs, SCHEMA), power=0.8, rate=0.5).collect()
+    tokens, targets, p = check(rows, 0.8, 0.5)
+    for m in range(3):
+        for value, target in targets[m].items():
+            there = sum(tokens[c] * p[c] for c in tokens if c[m] == value)
+            assert there == pytest.approx(target, rel=0.02)
+    kept = sum(r.tokens for r in rows if r.kept)
+    assert kept == pytest.approx(0.5 * sum(tokens.values()), rel=0.1)
+
+
+def test_many_cells_are_raked_by_shuffle_to_the_same_weights(spark):
+    cells = [(f"s{i % 7}", f"l{i % 3}", f"t{i % 2}", 10 + i * i) for i in range(42)]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {name: mixing.flattened(frame, name) for name in mixing.MARGINS}
+    ways = [
+        {tuple(r[:3]): r.probability for r in mixing.rake(frame, targets, 2, together).collect()}
+        for together in (10**6, 0)
+    ]
+    assert ways[0].keys() == ways[1].keys()
+    assert all(ways[0][c] == pytest.approx(ways[1][c], rel=1e-12) for c in ways[0])
+
+
+def test_registered_query(spark):
+    rows = QUERIES["op10_mixing"](spark, str(TESTDATA / "sf0.01")).collect()
+    assert len(rows) == 1000
+    check(rows)
