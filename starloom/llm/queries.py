@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import minhash
+from starloom.llm import (
+    decontaminate,
+    language,
+    minhash,
+    mixing,
+    sharding,
+    sketch,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +28,125 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_records(docs).select(
+        "doc_id",
+        sharding.record_bytes(F.col("text")).alias("size"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, index = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_archives(path, index)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.judge(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language.held_out(F.col("doc_id"))
+    found = language.identify(docs, language.learn(docs.where(~out)))
+    return found.withColumn("held_out", F.coalesce(out, F.lit(False)))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weigh_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
+    "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
+    "op6_sketch": op6_sketch,
+    "op7_language": op7_language,
+    "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+
+def _quoted(text: str | None) -> str:
+    return "null" if text is None else "'" + text.replace("'", "''") + "'"
+
+
+def _regex(glob: str) -> str:
+    """A glob as a regular expression for the whole canonical URL."""
+    parts = re.split(r"(\*\*|\*)", glob)
+    kinds = {"**": "(?s:.*)", "*": "[^/]*"}
+    return "".join(kinds.get(part, re.escape(part)) for part in parts)
+
+
+def _url_filter_sql() -> str:
+    rules = ", ".join(
+        f"({i}, {_quoted(r.name)}, {_quoted(r.action)}, {_quoted(r.host)}, {_quoted(r.path)})"
+        for i, r in enumerate(sorted(url_filter.HOST_RULES, key=lambda r: len(r.name)))
+    )
+    globs = ", ".join(f"({i}, {_quoted(g)}, {_quoted(_regex(g))})" for i, g in enumerate(url_filter.BLOCKED))
+    return f"""
+with rules(n, rule, action, rule_host, rule_path) as (values {rules}),
+globs(n, glob, pattern) as (values {globs}),
+cut as (
+    select page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '') as raw_host,
+        coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+    from pages
+),
+parts as (
+    select page_id, path, translate(raw_host, '{url_filter.UPPER}', '{url_filter.LOWER}') as host from cut
+),
+distinct_parts as (select distinct host, path from parts),
+fitting as (
+    select host, path, arg_max(rule, n) as rule, arg_max(action, n) as action
+    from distinct_parts join rules
+        on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by host, path
+),
+globbed as (
+    select host, path, arg_min(glob, n) as glob
+    from distinct_parts join globs on regexp_full_match(host || path, pattern)
+    group by host, path
+)
+select page_id, p.host, p.path, f.rule,
+    coalesce(f.action, case when g.glob is not null then 'block' else 'allow' end) as verdict,
+    case when f.rule is null then g.glob end as glob
+from parts p
+left join fitting f on f.host = p.host and f.path = p.path
+left join globbed g on g.host = p.host and g.path = p.path
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_url_filter": _url_filter_sql(),
+}
