@@ -9,19 +9,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.minhash import deduplicated
+from starloom.llm import decontaminate, minhash, mixing, sharding, toxicity
 from starloom.llm.shared import written
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return deduplicated(docs)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain, trained on the labels, does not reject."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.deduplicated(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item was found."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens meet the target shares by source, language and topic."""
+    return mixing.mixed(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, shuffled into shards, with ``shard`` and ``slot``."""
+    return sharding.shard_records(docs)
 
 
 STAGES = [
-    ("minhash near-dedup", near_dedup),
+    ("toxicity", drop_toxic),
+    ("minhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_leaks),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
-# The stages hash words and fit models, which SQL does not express.
+# The stages fit models and hash words, which SQL does not express.
 ORACLE_SQL = None
 
 
