@@ -224,7 +224,7 @@ def write_archives(
             for page_id, url, payload, refers_to, again in zip(*[iter(c) for c in batch.columns]):
                 if writer is None:
                     name = f"{stem}-{number:03d}.warc.zst"
-                    writer = BundleWriter(system.open_output_stream(f"{folder}/{name}"))
+                    writer = BundleWriter(system.open_output_stream(f"{folder}/{name}", compression=None))
                     number += 1
                 page_id, refers_to, again = page_id.as_py(), refers_to.as_py(), again.as_py()
                 record = record_bytes(page_id, url.as_py(), payload.as_py(), refers_to, again, date)
