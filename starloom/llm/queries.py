@@ -117,7 +117,7 @@ def _url_filter_sql() -> str:
     globs = ", ".join(f"({i}, {_quoted(g)}, {_quoted(_regex(g))})" for i, g in enumerate(url_filter.BLOCKED))
     return f"""
 with rules(n, rule, action, rule_host, rule_path) as (values {rules}),
-globs(n, glob, pattern) as (values {globs}),
+globs(n, pick, pattern) as (values {globs}),
 cut as (
     select page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '') as raw_host,
         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
@@ -134,13 +134,13 @@ fitting as (
     group by host, path
 ),
 globbed as (
-    select host, path, arg_min(glob, n) as glob
+    select host, path, arg_min(pick, n) as pick
     from distinct_parts join globs on regexp_full_match(host || path, pattern)
     group by host, path
 )
 select page_id, p.host, p.path, f.rule,
-    coalesce(f.action, case when g.glob is not null then 'block' else 'allow' end) as verdict,
-    case when f.rule is null then g.glob end as glob
+    coalesce(f.action, case when g.pick is not null then 'block' else 'allow' end) as verdict,
+    case when f.rule is null then g.pick end as "glob"
 from parts p
 left join fitting f on f.host = p.host and f.path = p.path
 left join globbed g on g.host = p.host and g.path = p.path
