@@ -30,10 +30,10 @@ from starloom.llm.shared import written
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 # At most about so many labelled documents are learned from.
 SAMPLE_ROWS = 8000
-FEATURES = 400
+FEATURES = 200
 FOLDS = 5
 SEED = 5
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 
 _EDGES = re.compile(r"^\W+|\W+$")
 
