@@ -2,6 +2,7 @@ from starloom.sources import schemas
 from starloom.sources.files import (
     partition_column,
     read_csv,
+    read_csv_apart,
     read_dimension,
     read_table_list,
     save_dimension,
@@ -14,6 +15,7 @@ __all__ = [
     "materialize",
     "partition_column",
     "read_csv",
+    "read_csv_apart",
     "read_dimension",
     "read_table_list",
     "save_dimension",

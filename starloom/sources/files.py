@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-# A control table lists table names; more than this is not a control table.
-MAX_LISTED_TABLES = 10_000
+from starloom.sources.scratch import materialize
+
+# Holds the text of a line that does not fit the schema.
+MALFORMED = "malformed_line"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with a header line and a declared schema.
 
     ``enforceSchema=false`` checks the header against the schema (ignoring
-    case), so a feed with swapped columns fails instead of loading wrongly.
+    case), so a feed with swapped columns fails instead of loading wrongly. A
+    line with a value of another type, or with too few or too many values,
+    fails the read, also where its columns are not used.
+    """
+    return _csv(spark, schema).option("mode", "FAILFAST").csv(path)
+
+
+def read_csv_apart(
+    spark: SparkSession, path: str, schema: StructType | str
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV's well-formed lines, and the others with their text in ``malformed_line``.
+
+    The second frame also has what values could be read. Every line of the file
+    is in one of the two, which are parsed once, when called, to scratch.
     """
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    with_text = StructType([*declared.fields, StructField(MALFORMED, StringType())])
+    lines = (
+        _csv(spark, with_text)
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .csv(path)
+    )
+    lines = materialize(lines, "csv")
+    fits = lines[MALFORMED].isNull()
+    return lines.where(fits).select(*declared.names), lines.where(~fits)
+
+
+def _csv(spark: SparkSession, schema: StructType | str) -> DataFrameReader:
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("columnPruning", False)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -66,10 +97,7 @@ def read_table_list(spark: SparkSession, path: str) -> list[str]:
     """Table names from the first column of a control CSV with a header."""
     listed = spark.read.option("header", True).csv(path)
     name = listed.columns[0]
-    names = [row[0] for row in listed.select(name).na.drop().head(MAX_LISTED_TABLES + 1)]
-    if len(names) > MAX_LISTED_TABLES:
-        raise ValueError(f"{path} lists more than {MAX_LISTED_TABLES} tables")
-    return names
+    return [row[0] for row in listed.select(name).na.drop().collect()]
 
 
 def partition_column(spark: SparkSession, table: str) -> str:

@@ -13,16 +13,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_temporary = ""
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder; a temporary one only in local mode.
+
+    The session is left as it is: the temporary folder is this process's own.
+    """
+    global _temporary
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    _temporary = _temporary or tempfile.mkdtemp(prefix="starloom-")
+    return _temporary
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from starloom.sources import files, materialize, read_csv, read_table_list, schemas, write_csv
+from starloom.sources import materialize, read_csv, read_csv_apart, read_table_list, schemas, write_csv
 from starloom.sources.scratch import scratch_path, scratch_root
 
 
@@ -47,12 +47,21 @@ def test_quoted_rule_values(spark, scratch):
     assert (row["column_name"], row["rule_value"]) == ("country,state", "MAP:India=MP;USA=CA,TX")
 
 
-def test_table_list(spark, scratch, monkeypatch):
+def test_table_list(spark, scratch):
     path = put(scratch, "tables.csv", "table,owner\norders,a\nlineitem,b\n")
     assert read_table_list(spark, path) == ["orders", "lineitem"]
-    monkeypatch.setattr(files, "MAX_LISTED_TABLES", 1)
-    with pytest.raises(ValueError, match="more than 1"):
-        read_table_list(spark, path)
+    long = put(scratch, "long.csv", "table\n" + "\n".join(f"t{i}" for i in range(10_001)) + "\n")
+    assert read_table_list(spark, long) == [f"t{i}" for i in range(10_001)]
+
+
+def test_malformed_lines_fail_or_are_set_apart(spark, scratch):
+    path = put(scratch, "feed.csv", "a,b\n1,2\nx,3\n5,6,7\n8\n9,10\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, path, "a INT, b INT").select("b").collect()
+    good, bad = read_csv_apart(spark, path, "a INT, b INT")
+    assert sorted(tuple(r) for r in good.collect()) == [(1, 2), (9, 10)]
+    assert sorted(r["malformed_line"] for r in bad.collect()) == ["5,6,7", "8", "x,3"]
+    assert good.count() + bad.count() == 5
 
 
 def test_scratch_is_the_checkpoint_folder(spark):
