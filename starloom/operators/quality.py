@@ -17,9 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rules are metadata; a table with more rows than this is not a rule table.
-MAX_RULES = 10_000
-
 RESULT_COLUMNS = ("rule_id", "column_name", "rule_type", "severity", "failed_count", "comments")
 
 
@@ -51,12 +48,10 @@ def parse_rules(rules_df: DataFrame) -> list[Rule]:
     """Rules from a table of ``rule_id, column_name, rule_type, rule_value, ...``.
 
     ``rule_value`` is ``NOT_NULL``, ``UNIQUE``, ``RANGE:low:high``,
-    ``REGEX:pattern`` or ``MAP:a=x,y;b=z``. Anything else raises.
+    ``REGEX:pattern`` or ``MAP:a=x,y;b=z``. Anything else raises, as does a rule
+    without an id. Rules are metadata and are read whole.
     """
-    rows = rules_df.head(MAX_RULES + 1)
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return [_parse(row.asDict()) for row in rows]
+    return [_parse(row.asDict()) for row in rules_df.collect()]
 
 
 def failing(rule: Rule, schema: T.StructType) -> Column:
@@ -66,7 +61,8 @@ def failing(rule: Rule, schema: T.StructType) -> Column:
         return values[0].isNull()
     if rule.kind == "range":
         number = _as_number(values[0], schema[rule.columns[0]].dataType)
-        condition = (number < F.lit(rule.low)) | (number > F.lit(rule.high))
+        unreadable = values[0].isNotNull() & number.isNull()
+        condition = unreadable | (number < F.lit(rule.low)) | (number > F.lit(rule.high))
     elif rule.kind == "regex":
         condition = ~values[0].cast("string").rlike(rule.pattern)
     elif rule.kind == "consistency":
@@ -122,20 +118,23 @@ def failing_rows(df: DataFrame, rules: DataFrame | Sequence[Rule]) -> DataFrame:
     """
     parsed = parse_rules(rules) if isinstance(rules, DataFrame) else list(rules)
     _require_columns(df, parsed)
-    conditions = {
-        rule.rule_id: failing(rule, df.schema) for rule in parsed if rule.kind != "uniqueness"
-    }
+    # Rules may share an id; each is checked.
+    conditions = [
+        (rule.rule_id, failing(rule, df.schema)) for rule in parsed if rule.kind != "uniqueness"
+    ]
     if not conditions:
         raise ValueError("no row-level rules")
     # Rules that hold leave a value no rule has, which array_remove takes out;
     # it is compiled with the rest, where array_compact runs a lambda per row.
-    none = min(conditions) - 1
-    marks = [F.when(failed, rule_id).otherwise(none) for rule_id, failed in conditions.items()]
+    none = min(rule_id for rule_id, _ in conditions) - 1
+    marks = [F.when(failed, rule_id).otherwise(none) for rule_id, failed in conditions]
     ids = F.array_remove(F.array(*marks), none)
-    return df.where(reduce(or_, conditions.values())).withColumn("failed_rules", ids)
+    return df.where(reduce(or_, [failed for _, failed in conditions])).withColumn("failed_rules", ids)
 
 
 def _parse(row: dict) -> Rule:
+    if row["rule_id"] is None:
+        raise ValueError(f"a rule on {row['column_name']} has no id")
     rule_type, value = row["rule_type"], (row.get("rule_value") or "").strip()
     columns = tuple(name.strip() for name in row["column_name"].split(","))
     shared = {
@@ -179,7 +178,7 @@ def _pairs(text: str, row: dict) -> tuple[tuple[str, str], ...]:
 
 
 def _as_number(value: Column, kind: T.DataType) -> Column:
-    # Text that is no number is left to a regex rule; it cannot be out of range.
+    # Text that is no number gives NULL, which a range rule counts as failing.
     return value.try_cast("double") if isinstance(kind, T.StringType) else value
 
 

@@ -85,7 +85,8 @@ def test_text_numbers_and_decimal_bounds(spark):
         schemas.DQ_RULES,
     )
     result = quality.run_rules(df, rules)
-    assert counts(result) == {1: 1, 2: 2}
+    # Text that is no number is as wrong in a number column as 500.
+    assert counts(result) == {1: 2, 2: 2}
     assert result.where("rule_id = 1").head()["comments"] == "range rule failed for age"
 
 
@@ -133,3 +134,21 @@ def test_one_hot_value_is_counted_before_the_shuffle(spark, capsys):
     assert counts(result) == {1: 1}
     result.explain()
     assert "partial_count" in capsys.readouterr().out
+
+
+def test_rules_that_share_an_id_are_all_checked(spark):
+    df = spark.createDataFrame([(1, None), (99, "x"), (5, "x")], "age INT, name STRING")
+    same = [
+        (3, "age", "accuracy", "RANGE:0:50", "LOW", "a"),
+        (3, "name", "completeness", "NOT_NULL", "LOW", "b"),
+    ]
+    rules = spark.createDataFrame(same, schemas.DQ_RULES)
+    got = {r["age"]: r["failed_rules"] for r in quality.failing_rows(df, rules).collect()}
+    assert got == {1: [3], 99: [3]}
+    with pytest.raises(ValueError, match="no id"):
+        quality.parse_rules(spark.createDataFrame([(None, *same[0][1:])], schemas.DQ_RULES))
+
+
+def test_any_number_of_rules_is_read(spark):
+    many = [(i, "age", "completeness", "NOT_NULL", "LOW", "a") for i in range(10_001)]
+    assert len(quality.parse_rules(spark.createDataFrame(many, schemas.DQ_RULES))) == 10_001
