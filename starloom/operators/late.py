@@ -24,6 +24,11 @@ PROCESSED = "processed_flag"
 FIRST_SEEN = "first_seen"
 
 
+def is_processed() -> Column:
+    """Whether a fact was released; a fact without a flag was not."""
+    return F.coalesce(F.col(PROCESSED), F.lit(False))
+
+
 def required_keys(keys: Sequence[DimensionKey]) -> list[str]:
     """Surrogate keys without which a fact is suspended."""
     return [key.sk for key in keys if key.required]
@@ -46,7 +51,7 @@ def split_suspended(
     find the ones waiting too long.
     """
     flagged = flag_processed(fact, sk_cols)
-    suspended = flagged.where(~F.col(PROCESSED))
+    suspended = flagged.where(~is_processed())
     if first_seen is not None:
         suspended = suspended.withColumn(FIRST_SEEN, date_column(first_seen))
     return flagged.where(PROCESSED).drop(PROCESSED), suspended
@@ -60,7 +65,7 @@ def retry_suspended(suspended: DataFrame, keys: Sequence[DimensionKey]) -> DataF
     """
     required = [key for key in keys if key.required]
     names = [key.sk for key in required]
-    waiting = suspended.where(~F.col(PROCESSED)).drop(*names, PROCESSED)
+    waiting = suspended.where(~is_processed()).drop(*names, PROCESSED)
     found = flag_processed(load_fact(waiting, required, mode="suspend"), names)
     return found.select(*suspended.columns)
 
@@ -99,11 +104,14 @@ def resolve_cycle(
     if first_seen is not None:
         candidates = candidates.withColumn(FIRST_SEEN, date_column(first_seen))
     if suspended is not None:
-        waiting = suspended.where(~F.col(PROCESSED)).drop(*names, PROCESSED)
-        candidates = candidates.unionByName(waiting)
+        waiting = suspended.where(~is_processed()).drop(*names, PROCESSED)
+        # Facts of a side that keeps no date of first sight have none.
+        one_dated = (FIRST_SEEN in candidates.columns) != (FIRST_SEEN in waiting.columns)
+        candidates = candidates.unionByName(waiting, allowMissingColumns=one_dated)
     found = flag_processed(load_fact(candidates, required, mode="suspend"), names)
     if suspended is not None:
-        found = found.select(*suspended.columns)
+        dated = [FIRST_SEEN] if FIRST_SEEN in found.columns else []
+        found = found.select(*dict.fromkeys([*suspended.columns, *dated]))
     if FIRST_SEEN not in found.columns:
         return found.dropDuplicates()
     same = [name for name in found.columns if name != FIRST_SEEN]
@@ -113,14 +121,19 @@ def resolve_cycle(
 def split_cycle(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ready facts of a resolved cycle, and those that stay suspended."""
     ready = resolved.where(PROCESSED).drop(PROCESSED, FIRST_SEEN)
-    return ready, resolved.where(~F.col(PROCESSED))
+    return ready, resolved.where(~is_processed())
 
 
 def land_cycle(
     resolved: DataFrame, path: str, mode: str = "errorifexists"
 ) -> tuple[DataFrame, DataFrame]:
-    """Write a resolved cycle once, then split it by reading its partitions."""
-    resolved.write.mode(mode).partitionBy(PROCESSED).parquet(path)
+    """Write a resolved cycle once, then split it by reading its partitions.
+
+    Overwriting replaces the whole cycle, whatever the session's setting for
+    partitions: a part left from before would hold released facts again.
+    """
+    writer = resolved.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(PROCESSED).parquet(path)
     return split_cycle(stored_cycle(resolved.sparkSession, path, resolved.schema))
 
 

@@ -105,3 +105,36 @@ def test_landing_writes_once_and_splits_by_partition(spark, scratch):
     assert sorted(ready.collect()) == sorted(facts.collect())
     assert sorted(still.collect()) == sorted(waiting.collect())
     assert still.schema.names == suspended.schema.names
+
+
+def test_facts_without_a_flag_still_wait(spark):
+    _, suspended = late.split_suspended(first_cycle(spark), NAMES)
+    unflagged = suspended.withColumn("processed_flag", F.lit(None).cast("boolean"))
+    assert late.retry_suspended(unflagged, arrived(spark)).count() == suspended.count() == 3
+    new = samples.orders(spark, samples.NEXT_ORDERS)
+    facts, still = late.next_cycle(new, unflagged, keys(spark))
+    assert facts.count() + still.count() == new.count() + 3
+    released, waiting = late.split_cycle(unflagged)
+    assert (released.count(), waiting.count()) == (0, 3)
+
+
+def test_one_side_may_have_no_date_of_first_sight(spark):
+    new = samples.orders(spark, samples.NEXT_ORDERS.replace("O1020,C002", "O1020,C999"))
+    for before, now in ((None, "2026-03-01"), ("2026-02-01", None)):
+        _, suspended = late.split_suspended(first_cycle(spark), NAMES, before)
+        facts, still = late.next_cycle(new, suspended, keys(spark), now)
+        seen = {r["order_id"]: r["first_seen"] and str(r["first_seen"]) for r in still.collect()}
+        assert seen == {"O1020": now, **{o: before for o in ("O1016", "O1017", "O1018")}}
+        assert facts.count() == 2
+
+
+def test_a_repeated_cycle_replaces_all_its_partitions(spark, scratch):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for found in (keys(spark), arrived(spark)):
+            raw = samples.orders(spark, samples.ORDERS, samples.LATE_ORDERS)
+            resolved = late.resolve_cycle(raw, None, found)
+            ready, waiting = late.land_cycle(resolved, f"{scratch}/cycle", "overwrite")
+        assert (ready.count(), waiting.count()) == (18, 0)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
