@@ -60,7 +60,9 @@ def initial_dimension(
     snapshot: DataFrame, spec: ScdSpec, valid_from: str | dt.date | Column, start: int = 0
 ) -> DataFrame:
     """First load: every row is a current version from ``valid_from`` on."""
-    numbered = assign_surrogate_keys(conform(snapshot, spec), spec.key, start, spec.sk)
+    # Numbering samples its input first; written, the snapshot is run once.
+    written = materialize(conform(snapshot, spec), "snapshot")
+    numbered = assign_surrogate_keys(written, spec.key, start, spec.sk)
     _require_business_keys(numbered, [spec.key])
     return _opened(numbered, spec, valid_from)
 
@@ -106,11 +108,17 @@ def new_rows(classified: DataFrame) -> DataFrame:
 def expire_changed(
     classified: DataFrame, spec: ScdSpec, as_of: str | dt.date | Column
 ) -> DataFrame:
-    """The versions that changed rows replace, closed the day before ``as_of``."""
+    """The versions that changed rows replace, closed the day before ``as_of``.
+
+    A version that does not start before ``as_of`` cannot be closed so; it
+    fails the query that reads it.
+    """
+    starts, day = F.col("prev_valid_from"), date_column(as_of)
+    late = F.raise_error(F.concat(F.lit("a version from "), starts, F.lit(" is not before "), day))
     kept = [F.col(f"prev_{name}").alias(name) for name in (spec.sk, *spec.attributes, "valid_from")]
     return classified.where(F.col("change") == CHANGED).select(
         *kept,
-        F.date_sub(date_column(as_of), 1).alias("valid_to"),
+        F.when(starts < day, F.date_sub(day, 1)).otherwise(late.cast("date")).alias("valid_to"),
         F.lit(False).alias("is_current"),
     )
 
@@ -152,12 +160,22 @@ def scd2_apply(
     Current rows are then closed by looking the changed keys up in that written
     table: a broadcast when they are few, so that whole dimension rows are not
     shuffled. Closed versions are passed through.
+
+    A business key that is NULL or repeats in the snapshot raises, and so does
+    an ``as_of`` not after the first day of every version it would close.
     """
+    _require_business_keys(conform(snapshot, spec), [spec.key])
     if as_of is None:
         as_of = snapshot.agg(F.max(spec.snapshot_date).cast("date")).scalar()
     classified = classify_changes(snapshot, dim, spec)
-    staged = _numbered_inserts(classified, spec, max_key(dim, spec.sk), extra=["change"])
-    _require_business_keys(staged, [spec.key])
+    staged = _numbered_inserts(
+        classified, spec, max_key(dim, spec.sk), extra=["change", "prev_valid_from"]
+    )
+    replacing = staged.where(F.col("change") == CHANGED)
+    early = replacing.where(F.col("prev_valid_from") >= date_column(as_of))
+    count, latest = early.agg(F.count(F.lit(1)), F.max("prev_valid_from")).head()
+    if count:
+        raise ValueError(f"{count} versions start on the day of this load or later, up to {latest}")
 
     replaced = staged.where(F.col("change") == CHANGED).select(
         F.col(spec.key).alias("__replaced"), F.lit(True).alias("__closes")
@@ -199,19 +217,25 @@ def scd2_replay(
             for day, snapshot in snapshots
         ],
     )
-    _require_business_keys(feed, [spec.key, "valid_from"])
     by_key = Window.partitionBy(spec.key).orderBy("valid_from")
     before = {f"prev_{name}": F.lag(name).over(by_key) for name in spec.tracked}
     starts = F.col("nth") == 1
     differs = any_differs((F.col(name), F.col(f"prev_{name}")) for name in spec.tracked)
     next_start = F.lead("valid_from").over(by_key)
+    # The window sees a repeated key beside its first row.
+    again = F.coalesce(F.lag("valid_from").over(by_key) == F.col("valid_from"), F.lit(False))
+    wrong = F.col("again") | F.col(spec.key).isNull()
     versions = (
-        feed.withColumns({"nth": F.row_number().over(by_key), **before})
-        .where(starts | differs)
+        feed.withColumns({"nth": F.row_number().over(by_key), "again": again, **before})
+        .where(starts | differs | wrong)
+        .withColumn("wrong", wrong)
         .withColumn("valid_to", F.coalesce(F.date_sub(next_start, 1), F.lit(OPEN_END)))
-        .select(*spec.attributes, "valid_from", "valid_to")
+        .select(*spec.attributes, "valid_from", "valid_to", "wrong")
     )
     written = materialize(versions, "versions")
+    if not written.where("wrong").isEmpty():
+        raise ValueError(f"business key {spec.key} is NULL or repeats within a snapshot")
+    written = written.drop("wrong")
     return (
         assign_surrogate_keys(written, ["valid_from", spec.key], start, spec.sk)
         .withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END))

@@ -218,3 +218,20 @@ def test_bucketed_dimension_is_not_shuffled(spark, jan, feb, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop database dims cascade")
+
+
+def test_a_repeated_key_raises_also_where_one_row_is_unchanged(spark, jan):
+    dim = scd2.initial_dimension(jan, SPEC, JAN)
+    feed = snapshot(spark, FEB, (1, "a", "x", "p", 1.0), (1, "a", "y", "p", 1.0))
+    with pytest.raises(ValueError, match="business key"):
+        scd2.scd2_apply(dim, feed, SPEC, FEB)
+
+
+@pytest.mark.parametrize("day", [JAN, dt.date(2023, 6, 1)])
+def test_a_load_must_be_later_than_what_it_closes(jan, feb, day):
+    dim = scd2.initial_dimension(jan, SPEC, JAN)
+    with pytest.raises(ValueError, match="day of this load or later"):
+        scd2.scd2_apply(dim, feb, SPEC, day)
+    classified = scd2.classify_changes(feb, dim, SPEC)
+    with pytest.raises(Exception, match="is not before"):
+        scd2.expire_changed(classified, SPEC, day).collect()
