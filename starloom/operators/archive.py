@@ -16,6 +16,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.compare import row_hash
 from starloom.functions.dates import as_date, previous_quarter_dates
@@ -36,6 +37,7 @@ class Archive:
     start: dt.date
     end: dt.date
     path: str
+    schema: T.StructType | None = None
 
     @property
     def name(self) -> str:
@@ -68,23 +70,39 @@ def archive_quarter(
     out: str,
     kind: str = "snapshot",
     partition_by: str | None = None,
+    mode: str | None = None,
 ) -> Archive:
     """Write the last full quarter before ``as_of`` under ``out``.
 
+    A snapshot that exists is an error and a working copy is replaced as a
+    whole, unless ``mode`` is ``append``.
+
     With ``partition_by`` rows are brought together by that column first;
     Spark divides a value too large for one file over several tasks.
     """
     start, end = previous_quarter_dates(as_of)
     rows = rows_between(df, date_column, start, end)
-    archive = Archive(table, kind, start, end, f"{out}/{archive_name(table, kind, start, end)}")
-    if partition_by is None:
-        rows.write.mode(KINDS[kind]).parquet(archive.path)
-    else:
-        gathered = rows.hint("rebalance", F.col(partition_by))
-        gathered.write.mode(KINDS[kind]).partitionBy(partition_by).parquet(archive.path)
+    path = f"{out}/{archive_name(table, kind, start, end)}"
+    archive = Archive(table, kind, start, end, path, df.schema)
+    if partition_by is not None:
+        rows = rows.hint("rebalance", F.col(partition_by))
+    writer = rows.write.mode(mode or KINDS[kind]).option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return archive
 
 
+def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
+    """An archive's rows with the types and column order they were written from.
+
+    The schema is not inferred: names of partition directories would turn text
+    such as ``001`` into a number, and an empty quarter has no file to look at.
+    """
+    if archive.schema is None:
+        return spark.read.parquet(archive.path)
+    stored = spark.read.schema(archive.schema).parquet(archive.path)
+    return stored.select(*archive.schema.names)
+
+
 def archive_tables(
     spark: SparkSession,
     tables: Sequence[str],
@@ -121,7 +139,7 @@ def archive_manifest(
     expires = as_date(created_at) + dt.timedelta(days=retention_days)
     rows = []
     for archive in archives:
-        stored = spark.read.parquet(archive.path)
+        stored = read_archive(spark, archive)
         rows.append(
             stored.agg(F.count(F.lit(1)).alias("row_count"), checksum(stored).alias("checksum"))
             .select(

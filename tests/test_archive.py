@@ -97,3 +97,24 @@ def test_catalog_tables_by_partition_column(orders, scratch, spark):
         assert [row["row_count"] for row in manifest.collect()] == [368, 368]
     finally:
         spark.sql("drop database arch cascade")
+
+
+def test_partitioned_archives_keep_their_types(orders, scratch, spark):
+    coded = orders.withColumn("code", F.when(F.col("id") % 2 == 0, "001").otherwise("01"))
+    kept = archive.rows_between(coded, "at", START, END)
+    expected = kept.agg(archive.checksum(kept)).head()[0]
+    for as_of, count in (("1998-01-15", 92 * 4), ("2005-01-15", 0)):
+        done = archive.archive_quarter(
+            coded, "coded", "at", as_of, scratch, "copy", partition_by="code"
+        )
+        manifest = archive.archive_manifest(spark, [done], as_of).head()
+        assert manifest["row_count"] == count
+        assert not count or manifest["checksum"] == expected
+        assert archive.read_archive(spark, done).schema["code"].dataType.simpleString() == "string"
+
+
+def test_a_copy_can_be_appended_to(orders, scratch, spark):
+    for part, mode in ((0, None), (1, "append")):
+        rows = orders.where(F.col("id") % 2 == part)
+        done = archive.archive_quarter(rows, "t", "at", "1998-01-15", scratch, "copy", mode=mode)
+    assert archive.read_archive(spark, done).count() == 92 * 4
