@@ -7,7 +7,7 @@ from starloom.functions.dates import (
     previous_quarter,
     previous_quarter_dates,
 )
-from starloom.functions.numbers import exact_avg, exact_sum, partial_sum
+from starloom.functions.numbers import mean_of, sum_of
 from starloom.functions.text import holds_text, replace_text
 
 __all__ = [
@@ -16,12 +16,11 @@ __all__ = [
     "as_date",
     "calendar_columns",
     "date_column",
-    "exact_avg",
-    "exact_sum",
     "holds_text",
-    "partial_sum",
+    "mean_of",
     "previous_quarter",
     "previous_quarter_dates",
     "replace_text",
     "row_hash",
+    "sum_of",
 ]

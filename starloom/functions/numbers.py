@@ -1,58 +1,26 @@
-"""Sums that do not depend on the order in which partitions arrive."""
+"""Sums and means that keep every value as it is."""
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Money is kept to this many ten-powers; price times rate needs four decimals.
-MONEY_SCALE = 4
-
-
-def _is_fractional(df: DataFrame, value: Column) -> bool:
-    kind = df.select(value.alias("v")).schema["v"].dataType
-    return isinstance(kind, (T.DoubleType, T.FloatType))
-
-
-def exact_sum(df: DataFrame, value: Column) -> Column:
-    """Sum of ``value``, the same for every partitioning of ``df``.
-
-    Adding doubles gives results that vary with task order. They are summed as
-    whole units of 10**-MONEY_SCALE in a decimal wide enough not to overflow;
-    integers and decimals are exact already. NaN is no amount and fails.
-    """
-    if not _is_fractional(df, value):
-        return F.sum(value)
-    return _from_units(F.sum(_to_units(value)))
-
-
-def exact_avg(df: DataFrame, value: Column) -> Column:
-    """Mean of ``value`` over its non-null rows, from the exact sum."""
-    return exact_sum(df, value).cast("double") / F.count(value)
-
 
-def partial_sum(df: DataFrame, value: Column) -> tuple[Column, Callable[[Column], Column]]:
-    """First-stage sum of ``value`` and how to finish it over those sums.
+def sum_of(df: DataFrame, value: Column) -> Column:
+    """Sum of ``value`` over its non-null rows.
 
-    For aggregations in two steps: the first column goes into the inner
-    ``agg``; calling the second on the column that holds it gives the outer sum.
+    Decimals are added exactly, in the widest decimal of their scale, so the
+    result does not depend on the partitioning; money belongs in decimals.
+    Doubles are added as doubles: nothing is rounded, NaN and infinity count,
+    and the last bits may differ with the order in which partitions arrive.
     """
-    if not _is_fractional(df, value):
-        return F.sum(value), F.sum
-    return F.sum(_to_units(value)), lambda units: _from_units(F.sum(units))
-
-
-def _to_units(value: Column) -> Column:
-    """Whole units as a decimal; by way of a long, which is faster, where they fit."""
-    units = F.rint(value * F.lit(float(10**MONEY_SCALE)))
-    fits = F.abs(units) < F.lit(float(10**18))
-    return F.when(fits, units.cast("long").cast("decimal(38,0)")).otherwise(
-        units.cast("decimal(38,0)")
-    )
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    if isinstance(kind, T.DecimalType):
+        value = value.cast(T.DecimalType(38, kind.scale))
+    return F.sum(value)
 
 
-def _from_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(10**MONEY_SCALE))
+def mean_of(df: DataFrame, value: Column) -> Column:
+    """Mean of ``value`` over its non-null rows as a double, from :func:`sum_of`."""
+    return F.try_divide(sum_of(df, value).cast("double"), F.count(value).cast("double"))

@@ -9,7 +9,8 @@ picked from what is measured, not assumed:
 * a bigger one is joined by shuffle, with keys that own a large share of the
   rows found first. Each of these, and NULL, would land in one task, so they
   are spread over all tasks by a salt and take their columns from a broadcast
-  of just those keys' rows, of which there are at most ``MAX_HOT_KEYS``.
+  of just those keys' rows, at most ``MAX_HOT_KEYS`` if keys are unique, and
+  measured before.
   Adaptive execution splits whatever skew is left.
 
 Every row of the large table comes out under either strategy.
@@ -58,7 +59,8 @@ class Lookup:
     ``on`` maps columns of the large table to key columns of ``table``;
     ``take`` names the columns to bring over. ``skewed`` is False if the large
     table, too, has one row per key. Repeated keys raise if ``check_unique``;
-    else the caller vouches for them.
+    else the caller vouches for them, and rows of a key that repeats after all
+    are multiplied, whichever way the tables are joined.
 
     ``keys_from`` is a frame to look for frequent keys in, under the large
     table's column names, for when that is itself a join too dear to run twice.
@@ -294,8 +296,9 @@ def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
         few = table.where(_key_hash(names).isin(*skew.keys)).select(
             *names, *[F.col(column).alias(f"__hot_{column}") for column in lookup.take]
         )
-        if few.count() > MAX_HOT_KEYS:
-            raise ValueError(f"{list(lookup.on.values())} repeat, which would multiply rows")
+        if not fits_broadcast([few])[0]:
+            # Wide rows, or repeated keys of a table whose caller vouched for it.
+            return _plain_join(rows, lookup, broadcast=False)
         matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
         joined = joined.join(F.broadcast(few), reduce(and_, matches), "left")
         found = found | F.col(names[0]).isNotNull()

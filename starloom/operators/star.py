@@ -8,8 +8,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.numbers import exact_avg, exact_sum, partial_sum
-from starloom.operators.lookup import Lookup, fits_broadcast, resolve
+from starloom.functions.numbers import mean_of, sum_of
+from starloom.operators.lookup import Lookup, resolve
 
 MODES = ("keep", "active", "suspend")
 
@@ -76,21 +76,16 @@ def category_revenue(
     sk: str = "product_sk",
     category: str = "category",
 ) -> DataFrame:
-    """Revenue of completed orders by product category."""
+    """Revenue of completed orders by product category.
+
+    Sales are summed per product before the join, which so moves one row per
+    product and not the sales of a best-seller. A product must have one row.
+    """
     sold = _completed(fact, completed, sk).select(sk, _amount(amount).alias("amount"))
-    products = product.select(sk, category)
-    if fits_broadcast([products])[0]:
-        return sold.join(F.broadcast(products), sk).groupBy(category).agg(
-            exact_sum(sold, F.col("amount")).alias("total_amount")
-        )
-    # Too many products to broadcast: sum per product first, so that the join
-    # moves one row per product and not the sales of a best-seller.
-    first, finish = partial_sum(sold, F.col("amount"))
-    per_product = sold.groupBy(sk).agg(first.alias("units"))
-    return (
-        per_product.join(products, sk)
-        .groupBy(category)
-        .agg(finish(F.col("units")).alias("total_amount"))
+    per_product = sold.groupBy(sk).agg(sum_of(sold, F.col("amount")).alias("amount"))
+    labelled = _labelled(per_product, product, sk, category)
+    return labelled.groupBy(category).agg(
+        sum_of(per_product, F.col("amount")).alias("total_amount")
     )
 
 
@@ -103,19 +98,28 @@ def category_sales(
     category: str = "category",
     order_id: str = "order_id",
     quantity: str = "quantity",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Quantity, revenue and number of orders by product category.
 
+    Sales become one row per product and order before the join. A product must
+    have one row. Where products are too many to broadcast, best-sellers are
+    looked for in ``keys_from``, a frame with the column ``sk``; the fact itself
+    is not run a second time for that, so without it skew is left to Spark.
     Spark deduplicates (category, order) pairs before counting them, so one
     large category is spread over tasks.
     """
     sold = _completed(fact, completed, sk).select(
         sk, order_id, quantity, _amount(amount).alias("amount")
     )
-    labelled = resolve(sold, [Lookup(product, {sk: sk}, [category], "inner")])
+    per_order = sold.groupBy(sk, order_id).agg(
+        sum_of(sold, F.col(quantity)).alias("quantity"),
+        sum_of(sold, F.col("amount")).alias("amount"),
+    )
+    labelled = _labelled(per_order, product, sk, category, keys_from)
     return labelled.groupBy(F.col(category).alias("product_category")).agg(
-        exact_sum(sold, F.col(quantity)).alias("total_quantity"),
-        exact_sum(sold, F.col("amount")).alias("total_sales_amount"),
+        sum_of(per_order, F.col("quantity")).alias("total_quantity"),
+        sum_of(per_order, F.col("amount")).alias("total_sales_amount"),
         F.countDistinct(order_id).alias("order_count"),
     )
 
@@ -127,15 +131,16 @@ def customer_revenue(
     completed: str = "COMPLETED",
     sk: str = "customer_sk",
     name: str = "customer_name",
-    price: str = "unit_price",
+    price: str | Column = "unit_price",
 ) -> DataFrame:
-    """Revenue and average, highest and lowest unit price by customer."""
+    """Revenue and average, highest and lowest unit price by customer, who must have one row."""
+    price = F.col(price) if isinstance(price, str) else price
     sold = _completed(fact, completed, sk).select(
-        sk, F.col(price).alias("price"), _amount(amount).alias("amount")
+        sk, price.alias("price"), _amount(amount).alias("amount")
     )
     profile = sold.groupBy(sk).agg(
-        exact_sum(sold, F.col("amount")).alias("total_amount"),
-        exact_avg(sold, F.col("price")).alias("avg_price"),
+        sum_of(sold, F.col("amount")).alias("total_amount"),
+        mean_of(sold, F.col("price")).alias("avg_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
     )
@@ -153,15 +158,15 @@ def top_customers(
     order_id: str = "order_id",
     quantity: str = "quantity",
 ) -> DataFrame:
-    """Customers by revenue, highest first; the ``k`` first, or all for None."""
+    """Customers by revenue, highest first; the ``k`` first, or all for None. Each must have one row."""
     sold = _completed(fact, completed, sk).select(
         sk, order_id, quantity, _amount(amount).alias("amount")
     )
     profile = sold.groupBy(sk).agg(
         F.count(order_id).alias("order_count"),
-        exact_sum(sold, F.col("amount")).alias("total_sales_amount"),
-        exact_avg(sold, F.col("amount")).alias("average_sales_amount"),
-        exact_sum(sold, F.col(quantity)).alias("total_quantity_purchased"),
+        sum_of(sold, F.col("amount")).alias("total_sales_amount"),
+        mean_of(sold, F.col("amount")).alias("average_sales_amount"),
+        sum_of(sold, F.col(quantity)).alias("total_quantity_purchased"),
     )
     ranked = _named(profile, customer, sk, name).orderBy(F.desc("total_sales_amount"), sk)
     return ranked if k is None else ranked.limit(k)
@@ -193,7 +198,18 @@ def _amount(amount: Column | None) -> Column:
     return F.col("unit_price") - F.col("discount") if amount is None else amount
 
 
+def _labelled(
+    rows: DataFrame, dim: DataFrame, sk: str, take: str, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """``rows`` with a column of the dimension, whose keys may not repeat."""
+    skewed = keys_from is not None
+    lookup = Lookup(
+        dim, {sk: sk}, [take], "inner", skewed=skewed, check_unique=True, keys_from=keys_from
+    )
+    return resolve(rows, [lookup])
+
+
 def _named(profile: DataFrame, customer: DataFrame, sk: str, name: str) -> DataFrame:
     """Add names to one row per customer; facts are summed before this join."""
     rest = [column for column in profile.columns if column != sk]
-    return profile.join(customer.select(sk, name), sk).select(sk, name, *rest)
+    return _labelled(profile, customer, sk, name).select(sk, name, *rest)

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import as_date
-from starloom.functions.numbers import exact_sum
+from starloom.functions.numbers import sum_of
 from starloom.operators.calendar import date_dimension
 from starloom.operators.lookup import Lookup, resolve
 from starloom.operators.scd2 import ScdSpec
@@ -66,6 +66,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def money(value: Column) -> Column:
+    """A price of the given tables as a decimal.
+
+    They hold prices and rates of two decimals, as doubles; so a price, and the
+    product of a price and a rate, is a decimal of four exactly.
+    """
+    return value.cast("decimal(18,4)")
+
+
 def order_lines(spark: SparkSession, sf_dir: str, *take: str) -> DataFrame:
     """Order lines with columns of their order."""
     orders = table(spark, sf_dir, "orders")
@@ -120,8 +129,8 @@ def dimension_keys(spark: SparkSession, sf_dir: str, late_arrived: bool) -> list
     ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer_id"))
     bought = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"))
     return [
-        DimensionKey(customers, "customer_id", "customer_sk", unique=True, keys_from=ordered),
-        DimensionKey(products, "product_id", "product_sk", unique=True, keys_from=bought),
+        DimensionKey(customers, "customer_id", "customer_sk", keys_from=ordered),
+        DimensionKey(products, "product_id", "product_sk", keys_from=bought),
         DimensionKey(
             date_dimension(spark, *CALENDAR),
             "calendar_date",
@@ -129,7 +138,6 @@ def dimension_keys(spark: SparkSession, sf_dir: str, late_arrived: bool) -> list
             fact_key="date_id",
             active=None,
             required=False,
-            unique=True,
         ),
     ]
 
@@ -143,7 +151,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
         .agg(
             F.min(F.substring("o_orderpriority", 1, 1).cast("int")).alias("best_priority"),
             F.max(F.when(urgent, F.col("o_orderdate"))).cast("date").alias("last_urgent"),
-            exact_sum(before, F.col("o_totalprice")).alias("spent"),
+            sum_of(before, money(F.col("o_totalprice"))).cast("double").alias("spent"),
             F.max("o_orderdate").alias("last_order"),
         )
         .where(F.col("last_order") >= _stamp(as_date(day) - dt.timedelta(days=SNAPSHOT_REACH)))

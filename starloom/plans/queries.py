@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import previous_quarter
@@ -51,29 +51,54 @@ def fact_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.load_fact(inputs.raw_orders(spark, sf_dir), keys, "active")
 
 
+def _net() -> Column:
+    return inputs.money(F.col("unit_price")) - inputs.money(F.col("discount"))
+
+
+def _as_double(report: DataFrame, *names: str) -> DataFrame:
+    """Exact totals as the doubles they are reported in."""
+    return report.withColumns({name: F.col(name).cast("double") for name in names})
+
+
 def category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = inputs.product_dim(spark, sf_dir)
-    return star.category_revenue(fact_keep(spark, sf_dir), products, completed=COMPLETED)
+    fact = fact_keep(spark, sf_dir)
+    report = star.category_revenue(fact, products, _net(), completed=COMPLETED)
+    return _as_double(report, "total_amount")
 
 
 def category_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = inputs.product_dim(spark, sf_dir)
-    return star.category_sales(fact_active(spark, sf_dir), products, completed=COMPLETED)
+    bought = inputs.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_partkey") + 1).alias("product_sk")
+    )
+    report = star.category_sales(
+        fact_active(spark, sf_dir), products, _net(), completed=COMPLETED, keys_from=bought
+    )
+    return _as_double(report, "total_sales_amount")
 
 
 def customer_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = inputs.customer_dim(spark, sf_dir)
-    return star.customer_revenue(fact_keep(spark, sf_dir), customers, completed=COMPLETED)
+    price = inputs.money(F.col("unit_price"))
+    report = star.customer_revenue(
+        fact_keep(spark, sf_dir), customers, _net(), completed=COMPLETED, price=price
+    )
+    return _as_double(report, "total_amount", "max_price", "min_price")
 
 
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = inputs.customer_dim(spark, sf_dir)
-    return star.top_customers(fact_active(spark, sf_dir), customers, 5, completed=COMPLETED)
+    fact = fact_active(spark, sf_dir)
+    report = star.top_customers(fact, customers, 5, _net(), completed=COMPLETED)
+    return _as_double(report, "total_sales_amount")
 
 
 def customer_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = inputs.customer_dim(spark, sf_dir)
-    return star.top_customers(fact_active(spark, sf_dir), customers, None, completed=COMPLETED)
+    fact = fact_active(spark, sf_dir)
+    report = star.top_customers(fact, customers, None, _net(), completed=COMPLETED)
+    return _as_double(report, "total_sales_amount")
 
 
 # Slowly changing dimension --------------------------------------------------
@@ -179,7 +204,8 @@ def late_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _second_cycle(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     keys = inputs.dimension_keys(spark, sf_dir, late_arrived=True)
     new_raw = _cycle(spark, sf_dir, first=False)
-    return late.next_cycle(new_raw, late_suspended(spark, sf_dir), keys)
+    resolved = late.resolve_cycle(new_raw, late_suspended(spark, sf_dir), keys)
+    return late.land_cycle(resolved, scratch_path(spark, "cycle"))
 
 
 def late_next_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +259,7 @@ def archive_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders")
     out = scratch_path(spark, "archive")
     written = archive.archive_quarter(orders, "orders", "o_orderdate", ARCHIVE_AS_OF, out)
-    return spark.read.schema(orders.schema).parquet(written.path)
+    return archive.read_archive(spark, written)
 
 
 def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

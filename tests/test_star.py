@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 import samples
-from starloom.functions import exact_sum
-from starloom.operators import star
+from starloom.functions import mean_of, sum_of
+from starloom.operators import lookup, star
 from starloom.operators.calendar import date_dimension
 from starloom.operators.star import DimensionKey
 
@@ -90,7 +93,7 @@ def test_categories(spark, fact):
 def test_categories_of_many_products(spark, fact, monkeypatch):
     products = samples.products(spark)
     expected = sorted(star.category_revenue(fact, products).collect())
-    monkeypatch.setattr(star, "fits_broadcast", lambda tables: [False])
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     assert sorted(star.category_revenue(fact, products).collect()) == expected
 
 
@@ -120,12 +123,63 @@ def test_amount_is_an_argument(spark, fact):
     assert gross.where("category = 'Furniture'").head()["total_amount"] == 214000.0
 
 
-def test_sums_do_not_depend_on_order(spark):
-    values = [(0.1 * i,) for i in range(10_000)]
-    df = spark.createDataFrame(values, "v DOUBLE")
-    sums = {
-        df.repartition(n).agg(exact_sum(df, F.col("v"))).head()[0] for n in (1, 3, 17)
-    }
-    assert sums == {4999500.0}
-    large = spark.createDataFrame([(3e17,), (-3e17,), (0.25,)], "v DOUBLE")
-    assert large.agg(exact_sum(large, F.col("v"))).head()[0] == 0.25
+def total(df, value="v"):
+    return df.agg(sum_of(df, F.col(value))).head()[0]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_keep_every_value(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        tiny = spark.range(100_000).select(F.lit(0.00001).alias("v"))
+        assert total(tiny) == pytest.approx(1.0, rel=1e-9)
+        third = spark.range(3000).select(F.lit(0.33333).alias("v"))
+        assert total(third) == pytest.approx(999.99, rel=1e-9)
+        for values, expected in (
+            ([1.0, float("nan"), 2.0], "nan"),
+            ([1.0, float("inf"), 2.0], "inf"),
+            ([1e34, 1e34], "2e+34"),
+            ([None, None], "None"),
+        ):
+            df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+            assert str(total(df)) == expected
+        assert math.isnan(df.sparkSession.createDataFrame([(1.0,), (float("nan"),)], "v DOUBLE").agg(
+            mean_of(df, F.col("v"))
+        ).head()[0])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_sums_of_decimals_are_exact_in_any_order(spark):
+    values = [(Decimal(i) / 10000,) for i in range(10_000)] + [(Decimal("99999999999999.9999"),)] * 5
+    df = spark.createDataFrame(values, "v DECIMAL(18,4)")
+    sums = {total(df.repartition(n)) for n in (1, 3, 17)}
+    assert sums == {sum(v for v, in values)}
+    assert df.agg(mean_of(df, F.col("v"))).head()[0] == float(sum(v for v, in values)) / len(values)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_repeated_dimension_keys_are_refused_in_reports(spark, fact, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+    twice = [frame.unionByName(frame) for frame in (samples.products(spark), samples.customers(spark))]
+    for report, dim in (
+        (star.category_revenue, twice[0]), (star.category_sales, twice[0]),
+        (star.customer_revenue, twice[1]), (star.top_customers, twice[1]),
+    ):
+        with pytest.raises(ValueError, match="multiply"):
+            report(fact, dim)
+
+
+def test_category_sales_run_the_fact_once(spark, fact, monkeypatch, tmp_path):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        runs.add(1)
+        yield from batches
+
+    counted = fact.coalesce(1).mapInArrow(seen, fact.schema)
+    products = samples.products(spark)
+    report = star.category_sales(counted, products, keys_from=products.select("product_sk"))
+    report.write.parquet(str(tmp_path / "report"))
+    assert runs.value == 1
