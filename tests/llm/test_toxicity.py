@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cases import SCHEMA, awkward, row, sentence
@@ -81,17 +82,17 @@ def test_later_categories_use_out_of_fold_probabilities():
     assert np.allclose(weights[0], alone)
 
 
+@pytest.mark.skipif(not (TESTDATA / "check_s").exists(), reason="needs the tables of 0.1 GB")
 def test_registered_query_on_held_out_labels(spark):
-    folder = str(TESTDATA / "sf0.1")
+    """At the production sample's size; with the 3000 labels of sf0.1 recall is 0.86."""
+    folder = str(TESTDATA / "check_s")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     out = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
     model = toxicity.train(docs, labels.where(~out))
     got = toxicity.judge(docs, model).join(labels.where(out), "doc_id").collect()
     toxic = {bool(y): [r.rejected for r in got if bool(r[5]) == y] for y in (True, False)}
-    # Three thousand labels name few toxic words of the smaller languages; with
-    # the eight thousand of the production sample recall is 0.99.
-    assert np.mean(toxic[True]) > 0.8
+    assert np.mean(toxic[True]) > 0.95
     assert np.mean(toxic[False]) < 0.005
     rows = QUERIES["op5_toxicity"](spark, str(TESTDATA / "sf0.01"))
     assert rows.columns == ["doc_id", "low_quality", "toxic", "rejected"] and rows.count() == 1000
