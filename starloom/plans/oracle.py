@@ -18,6 +18,7 @@ from starloom.plans.inputs import (
 )
 from starloom.plans.queries import (
     ARCHIVE_AS_OF,
+    BROKEN_EVERY,
     EXPIRY_NOW,
     HISTORY_KEY,
     KEYWORD,
@@ -301,6 +302,16 @@ where {" or ".join(FAILS.values())}""",
 from orders""",
     "archive_quarter": f"""select * from orders
 where cast(o_orderdate as date) between {ARCHIVED_FROM} and {ARCHIVED_TO}""",
+    "archive_by_catalog": f"""select *, cast(date_trunc('month', o_orderdate) as date) as order_month
+from orders where cast(o_orderdate as date) between {ARCHIVED_FROM} and {ARCHIVED_TO}""",
+    "csv_round_trip": f"""select o_orderkey,
+       case when o_orderkey % {BROKEN_EVERY} <> 0 then o_custkey end as o_custkey,
+       case when o_orderkey % {BROKEN_EVERY} <> 0 then o_orderstatus end as o_orderstatus,
+       case when o_orderkey % {BROKEN_EVERY} <> 0 then cast(o_orderdate as date) end as o_orderdate,
+       case when o_orderkey % {BROKEN_EVERY} = 0 then
+         concat_ws(',', o_orderkey, 'C-' || o_custkey, o_orderstatus, cast(o_orderdate as date))
+       end as malformed_line
+from orders""",
     "archive_manifest": f"""{_manifest("orders", "o_orderdate")}
 union all
 {_manifest("lineitem", "l_shipdate")}""",

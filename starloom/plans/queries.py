@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ from starloom.operators.keys import assign_surrogate_keys
 from starloom.operators.nested import replace_text_deep
 from starloom.plans import inputs
 from starloom.plans.inputs import COMPLETED, CUSTOMER_SPEC, SNAPSHOT_DAYS
-from starloom.sources import schemas
+from starloom.sources import read_csv_apart, read_table_list, schemas, write_csv
+from starloom.sources.files import MALFORMED
 from starloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ARCHIVE_AS_OF = "1998-02-10"
 EXPIRY_NOW = "1999-03-15"
 HISTORY_KEY = 27
+BROKEN_EVERY = 97
 KEYWORD, REPLACEMENT = "e", "<E>"
 
 
@@ -262,6 +266,53 @@ def archive_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.read_archive(spark, written)
 
 
+def archive_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of every table a control file lists, found by its partition column."""
+    name = f"orders_by_month_{uuid.uuid4().hex}"
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    orders = inputs.table(spark, sf_dir, "orders").withColumn("order_month", month)
+    listed = scratch_path(spark, "control")
+    write_csv(spark.createDataFrame([(name,)], "table_name STRING"), listed)
+    writer = orders.hint("rebalance", "order_month").write.partitionBy("order_month")
+    writer.option("path", scratch_path(spark, "table")).saveAsTable(name)
+    try:
+        tables = read_table_list(spark, listed)
+        out = scratch_path(spark, "archive")
+        done = archive.archive_tables(spark, tables, ARCHIVE_AS_OF, out)
+    finally:
+        spark.sql(f"drop table {name}")
+    return reduce(DataFrame.unionByName, [archive.read_archive(spark, one) for one in done])
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV, some with a broken customer, read back and told apart."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    broken = F.concat(F.lit("C-"), F.col("o_custkey"))
+    feed = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % BROKEN_EVERY == 0, broken)
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+    )
+    path = scratch_path(spark, "feed")
+    write_csv(feed, path)
+    good, bad = read_csv_apart(
+        spark, path, "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_orderdate DATE"
+    )
+    line = F.col(MALFORMED)
+    return good.withColumn(MALFORMED, F.lit(None).cast("string")).unionByName(
+        bad.select(
+            F.split_part(line, F.lit(","), F.lit(1)).cast("long").alias("o_orderkey"),
+            F.lit(None).cast("long").alias("o_custkey"),
+            F.lit(None).cast("string").alias("o_orderstatus"),
+            F.lit(None).cast("date").alias("o_orderdate"),
+            MALFORMED,
+        )
+    )
+
+
 def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of two archives, each checked against the rows it came from."""
     out = scratch_path(spark, "archive")
@@ -369,7 +420,9 @@ QUERIES: dict[str, Query] = {
     "dq_duplicates": dq_duplicates,
     "previous_quarter": previous_quarters,
     "archive_quarter": archive_quarter,
+    "archive_by_catalog": archive_by_catalog,
     "archive_manifest": archive_manifest,
+    "csv_round_trip": csv_round_trip,
     "expired_archives": expired_archives,
     "replace_text_deep": replace_text,
 }
