@@ -8,16 +8,26 @@ the same input, so no fact is released twice.
 
 from __future__ import annotations
 
+import re
 from typing import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.late import PROCESSED, land_cycle, resolve_cycle, stored_cycle
+from starloom.operators.late import (
+    PROCESSED,
+    is_processed,
+    land_cycle,
+    resolve_cycle,
+    stored_cycle,
+)
 from starloom.operators.star import DimensionKey
 
+_PLACE = re.compile(r"/cycle=(\d+)/round=(\d+)/")
+
 KeySource = Callable[[SparkSession], Sequence[DimensionKey]]
 
 
@@ -27,16 +37,20 @@ def start_late_feed(
     """Process what the stream ``raw`` holds now, then stop.
 
     ``keys`` is called in every cycle, to see dimensions that arrived meanwhile.
+    A ``root`` belongs to the stream with the ``checkpoint`` it was first used
+    with; another one, which would start anew over its cycles, is refused.
+    Without new facts no cycle runs; see :func:`release_waiting`.
     """
+    _claim(raw.sparkSession, root, checkpoint)
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         found = keys(spark)
-        waiting = None
-        if batch_id > 0:
-            before = stored_cycle(spark, _cycle_path(root, batch_id - 1), _schema(raw, found))
-            waiting = before.where(~F.col(PROCESSED))
-        land_cycle(resolve_cycle(batch, waiting, found), _cycle_path(root, batch_id), "overwrite")
+        done = [place for place in _rounds(spark, root) if place[0] != batch_id]
+        if any(of > batch_id for of, _ in done):
+            raise ValueError(f"{root} holds cycles after {batch_id}; its checkpoint is not this stream's")
+        waiting = _waiting(spark, root, max(done), raw, found) if done else None
+        land_cycle(resolve_cycle(batch, waiting, found), _path(root, batch_id, 0), "overwrite")
 
     return (
         raw.writeStream.foreachBatch(cycle)
@@ -46,17 +60,67 @@ def start_late_feed(
     )
 
 
+def release_waiting(raw: DataFrame, keys: KeySource, root: str) -> int:
+    """Look the waiting facts up again without new ones, and land them as a further round.
+
+    For when dimensions arrived and no fact did. ``raw`` only gives the facts'
+    columns. Returns how many were released; nothing is written if none were.
+    """
+    spark = raw.sparkSession
+    done = _rounds(spark, root)
+    if not done:
+        return 0
+    last, found = max(done), keys(spark)
+    waiting = _waiting(spark, root, last, raw, found)
+    nothing = spark.createDataFrame([], raw.schema)
+    path = _path(root, last[0], last[1] + 1)
+    resolved = resolve_cycle(nothing, waiting, found)
+    released = resolved.where(F.col(PROCESSED)).count()
+    if released:
+        land_cycle(resolved, path)
+    return released
+
+
 def released_facts(spark: SparkSession, root: str) -> DataFrame:
     """All facts released so far, with the ``cycle`` that released them.
 
     Only the partitions of ready facts are read.
     """
     cycles = spark.read.option("basePath", root).parquet(root)
-    return cycles.where(F.col(PROCESSED).cast("boolean")).drop(PROCESSED)
+    return cycles.where(F.col(PROCESSED).cast("boolean")).drop(PROCESSED, "round")
+
+
+def _path(root: str, batch_id: int, number: int) -> str:
+    return f"{root}/cycle={batch_id}/round={number}"
+
+
+def _waiting(
+    spark: SparkSession, root: str, place: tuple[int, int], raw: DataFrame, keys: Sequence[DimensionKey]
+) -> DataFrame:
+    stored = stored_cycle(spark, _path(root, *place), _schema(raw, keys))
+    return stored.where(~is_processed())
+
+
+def _rounds(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """The cycles and rounds under ``root``, told from the names of its directories."""
+    try:
+        files = spark.read.option("basePath", root).parquet(root).inputFiles()
+    except AnalysisException:
+        return []
+    places = (_PLACE.search(name) for name in files)
+    return sorted({(int(found[1]), int(found[2])) for found in places if found})
 
 
-def _cycle_path(root: str, batch_id: int) -> str:
-    return f"{root}/cycle={batch_id}"
+def _claim(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Note which stream's ``root`` this is, or raise if it is another's."""
+    note = f"{root}/_stream"
+    try:
+        owner = spark.read.text(note).head()[0]
+    except AnalysisException:
+        spark.createDataFrame([(checkpoint,)], "checkpoint STRING").write.text(note)
+        return
+    if owner != checkpoint:
+        raise ValueError(f"{root} belongs to the stream with the checkpoint {owner}")
 
 
 def _schema(raw: DataFrame, keys: Sequence[DimensionKey]) -> T.StructType:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import pytest
+
 import samples
-from starloom.streaming import released_facts, start_late_feed
+from starloom.streaming import release_waiting, released_facts, start_late_feed
 from test_star import keys
 
 
@@ -33,3 +35,36 @@ def test_cycles_of_a_stream(spark, scratch):
 
     run(late=True)
     assert released_facts(spark, root).count() == 21
+
+
+def test_facts_are_released_without_new_ones(spark, scratch):
+    landing, root = f"{scratch}/in", f"{scratch}/out"
+    first = samples.orders(spark, samples.ORDERS, samples.LATE_ORDERS)
+    first.coalesce(1).write.parquet(landing)
+    raw = spark.readStream.schema(first.schema).parquet(landing)
+
+    def late(session):
+        return keys(session, samples.customers(session, True), samples.products(session, True))
+
+    assert release_waiting(raw, keys, root) == 0
+    start_late_feed(raw, keys, root, f"{scratch}/check").awaitTermination()
+    assert release_waiting(raw, keys, root) == 0
+    assert released_facts(spark, root).count() == 15
+    assert release_waiting(raw, late, root) == 3
+    assert release_waiting(raw, late, root) == 0
+    samples.orders(spark, samples.NEXT_ORDERS).coalesce(1).write.mode("append").parquet(landing)
+    start_late_feed(raw, late, root, f"{scratch}/check").awaitTermination()
+    released = released_facts(spark, root)
+    assert released.count() == released.select("order_id").distinct().count() == 21
+
+
+def test_another_streams_root_is_refused(spark, scratch):
+    landing, root = f"{scratch}/in", f"{scratch}/out"
+    first = samples.orders(spark, samples.ORDERS)
+    first.coalesce(1).write.parquet(landing)
+    raw = spark.readStream.schema(first.schema).parquet(landing)
+    start_late_feed(raw, keys, root, f"{scratch}/check").awaitTermination()
+    before = released_facts(spark, root).count()
+    with pytest.raises(ValueError, match="belongs to the stream"):
+        start_late_feed(raw, keys, root, f"{scratch}/other")
+    assert released_facts(spark, root).count() == before
