@@ -33,6 +33,8 @@ HOT_ROWS = 100_000
 HOT_SHARE = 1e-3
 # So there cannot be more keys with that share than this.
 MAX_HOT_KEYS = 1000
+# Their rows are broadcast up to this size.
+HOT_BYTES = 64 * 1024 * 1024
 # Counters of the frequent-item sketch: its error stays below HOT_SHARE. Tasks'
 # sketches are merged in this many groups first, not all in one task.
 SKETCH_COUNTERS = 8192
@@ -296,7 +298,7 @@ def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
         few = table.where(_key_hash(names).isin(*skew.keys)).select(
             *names, *[F.col(column).alias(f"__hot_{column}") for column in lookup.take]
         )
-        if not fits_broadcast([few])[0]:
+        if not fits_broadcast([few], HOT_BYTES)[0]:
             # Wide rows, or repeated keys of a table whose caller vouched for it.
             return _plain_join(rows, lookup, broadcast=False)
         matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import lookup
 from starloom.operators.lookup import Lookup, Skew, find_skew, fits_broadcast, resolve
 
 
@@ -126,7 +127,17 @@ def test_repeated_keys_and_wrong_types_raise(spark, facts):
         resolve(facts, [Lookup(text, {"k": "key"}, ["v"])])
 
 
-def test_repeated_hot_rows_are_not_broadcast(spark, facts):
-    many = spark.range(2000).select(F.lit(7).cast("long").alias("key"), F.col("id").alias("v"))
-    with pytest.raises(ValueError, match="multiply"):
-        resolve(facts, [Lookup(many, {"k": "key"}, ["v"])], 0, hot_rows=1000)
+@pytest.mark.parametrize("hot_bytes", [lookup.HOT_BYTES, 0])
+def test_repeated_vouched_keys_have_one_outcome(spark, facts, monkeypatch, hot_bytes):
+    monkeypatch.setattr(lookup, "HOT_BYTES", hot_bytes)
+    twice = spark.createDataFrame([(7, 1), (7, 2)], "key LONG, v LONG")
+    many = [Lookup(twice, {"k": "key"}, ["v"], skewed=True)]
+    ways = [
+        sorted(map(tuple, resolve(facts, many, limit, hot_rows=1000).groupBy("k", "v").count().collect()), key=repr)
+        for limit in (1 << 26, 0)
+    ]
+    assert ways[0] == ways[1]
+    refused = [Lookup(twice, {"k": "key"}, ["v"], check_unique=True)]
+    for limit in (1 << 26, 0):
+        with pytest.raises(ValueError, match="multiply"):
+            resolve(facts, refused, limit, hot_rows=1000)

@@ -12,7 +12,7 @@ RULES = [
     (2, "email", "accuracy", "REGEX:^[A-Za-z0-9+_.-]+@(.+)$", "HIGH", "Valid email format"),
     (3, "age", "accuracy", "RANGE:0:120", "MEDIUM", "Valid age range"),
     (4, "order_id", "uniqueness", "UNIQUE", "HIGH", "Unique order ID"),
-    (5, "country,state", "consistency", "MAP:India=MP;USA=CA,TX", "MEDIUM", "Valid pair"),
+    (5, "country,state", "consistency", "MAP:India=MP;USA=CA,TX", "MEDIUM", "Valid country-state mapping"),
 ]
 
 
@@ -47,7 +47,7 @@ def test_report_of_the_sample_rules(customers, rules):
     assert counts(result) == {1: 1, 2: 2, 3: 2, 4: 2, 5: 2}
     row = result.where("rule_id = 5").head()
     assert (row["column_name"], row["severity"], row["comments"]) == (
-        "country,state", "MEDIUM", "Valid pair",
+        "country,state", "MEDIUM", "Valid country-state mapping",
     )
 
 

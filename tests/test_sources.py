@@ -41,7 +41,7 @@ def test_quoted_rule_values(spark, scratch):
     path = put(
         scratch, "rules.csv",
         "rule_id,column_name,rule_type,rule_value,severity,description\n"
-        '5,"country,state",consistency,"MAP:India=MP;USA=CA,TX",MEDIUM,Valid pair\n',
+        '5,"country,state",consistency,"MAP:India=MP;USA=CA,TX",MEDIUM,Valid country-state mapping\n',
     )
     row = read_csv(spark, path, schemas.DQ_RULES).head()
     assert (row["column_name"], row["rule_value"]) == ("country,state", "MAP:India=MP;USA=CA,TX")
