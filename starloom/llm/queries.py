@@ -37,7 +37,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(docs).select(
         "doc_id",
         sharding.record_bytes(F.col("text")).alias("size"),
-        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        sharding.crc32_of(F.col("text")).alias("text_crc32"),
         F.lit("rows").alias("law"),
         "shard",
         "slot",

@@ -107,7 +107,7 @@ def shard_records(
 
 
 def crc32_of(text: Column) -> Column:
-    """Unsigned CRC-32 of a text's UTF-8 bytes; null for null."""
-    return F.crc32(text.cast("binary"))
+    """Unsigned CRC-32 of a text's UTF-8 bytes, of which null has none."""
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
