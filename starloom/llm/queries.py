@@ -147,6 +147,61 @@ left join globbed g on g.host = p.host and g.path = p.path
 """
 
 
+_WARC_SQL = """
+with payloads as (select page_id, encode(coalesce(html, '')) as payload from pages),
+hashed as (
+    select page_id, octet_length(payload) as payload_bytes, sha1(payload) as hex,
+        max(page_id) over (partition by payload) as last
+    from payloads
+)
+select page_id, payload_bytes,
+    array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::int >> (15 - 5 * (i % 4))) & 31), 1)
+        for i in range(32)
+    ], '') as payload_digest,
+    case when page_id = last then 'response' else 'revisit' end as record_type,
+    case when page_id <> last then last end as refers_to
+from hashed
+"""
+
+# Every pair of documents that shares a shingle, and everything within reach.
+_MINHASH_SQL = f"""
+with recursive words as (
+    select doc_id, [w for w in string_split_regex(
+        translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'),
+        '[\\x20\\x09-\\x0D]+') if w <> ''] as w
+    from documents
+),
+cut as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end as s
+    from words
+),
+shingles as (select distinct doc_id, unnest(s) as s from cut),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+    select a.doc_id as x, b.doc_id as y, count(*) as c
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    group by all
+),
+links as (
+    select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+    where 100 * c >= 75 * (p.n + q.n - c)
+),
+either_way as (select x, y from links union all select y, x from links),
+reach(doc_id, r) as (
+    select doc_id, doc_id from documents
+    union
+    select reach.doc_id, y from reach join either_way on x = r
+),
+least_of as (select doc_id, min(r) as component_id from reach group by doc_id)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join least_of using (doc_id) left join sizes using (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": _url_filter_sql(),
+    "op3_minhash": _MINHASH_SQL,
+    "op4_warc": _WARC_SQL,
 }
