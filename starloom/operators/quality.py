@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources.scratch import materialize
+
 RESULT_COLUMNS = ("rule_id", "column_name", "rule_type", "severity", "failed_count", "comments")
 
 
@@ -77,10 +79,20 @@ def failing(rule: Rule, schema: T.StructType) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def run_rules(df: DataFrame, rules: DataFrame | Sequence[Rule]) -> DataFrame:
-    """One row per rule: how many rows fail it, or how many values repeat."""
+def run_rules(
+    df: DataFrame, rules: DataFrame | Sequence[Rule], write_once: bool = False
+) -> DataFrame:
+    """One row per rule: how many rows fail it, or how many values repeat.
+
+    Each uniqueness rule reads ``df`` once more. Where that is no plain scan but
+    a join, ``write_once`` writes the columns the rules name to scratch first.
+    """
     parsed = parse_rules(rules) if isinstance(rules, DataFrame) else list(rules)
     _require_columns(df, parsed)
+    passes = sum(rule.kind == "uniqueness" for rule in parsed)
+    if write_once and passes and len(parsed) > 1:
+        named = {name.lower() for rule in parsed for name in rule.columns}
+        df = materialize(df.select(*[c for c in df.columns if c.lower() in named]), "checked")
     by_row = [rule for rule in parsed if rule.kind != "uniqueness"]
     results = [
         duplicate_values(df, rule)

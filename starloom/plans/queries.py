@@ -230,7 +230,8 @@ def _rules(spark: SparkSession, *ids: int) -> DataFrame:
 
 def _dq(*ids: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return quality.run_rules(inputs.checked_lines(spark, sf_dir), _rules(spark, *ids))
+        lines = inputs.checked_lines(spark, sf_dir)
+        return quality.run_rules(lines, _rules(spark, *ids), write_once=True)
 
     return run
 
