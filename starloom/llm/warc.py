@@ -266,7 +266,9 @@ def read_archives(path: str, index: DataFrame) -> DataFrame:
     """
     schema = T.StructType.fromDDL(READ)
     partitions = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bundles = index.select("bundle").distinct().repartition(partitions, "bundle")
+    # A hash of the name, not the name, which distinct() has dealt out already: the
+    # optimizer would drop that repartition and merge the few names into one task.
+    bundles = index.select("bundle").distinct().repartition(partitions, F.xxhash64("bundle"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = _open_folder(path)
