@@ -8,20 +8,25 @@ five-word shingle hashes, which are added up with bit-sliced adders on whole
 longs. Fingerprints are cut into ``RADIUS + 1`` blocks: two within the radius
 agree in one block at least, so a lookup by blocks finds all of them.
 
-A candidate is then aligned with its whole item: the window of the item's
-length is compared with the item by the weighted Jaccard similarity of their
-five-word shingles, a shingle's weight being how often it occurs.
-
-For a similarity of 0.75, at most a seventh of an item's shingles may differ.
-Words changed inside the passage cost five shingles each, so some run of
-unbroken words is long enough to hold one aligned window exactly.
+Where a window is found, all windows of the item's length around it are
+compared with the item by the weighted Jaccard similarity of their five-word
+shingles, a shingle's weight being how often it occurs. An occurrence counts in
+the windows of one run of starts, so the ends of those runs give every window's
+common weight.
+
+For a similarity of 0.75, at most a seventh of the shingles may differ. A word
+changed inside the passage costs five shingles and a place where parts are cut,
+left out or put in another order costs four, so some run of unbroken words is
+long enough to hold one of the windows exactly: 10 words of an item of 12, 16 of
+one of 24 or more. An item that repeats four or more words within itself may be
+put in another order there without any such break; then no run need be so long.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.shared import BROADCAST_BYTES, keep_only, written
@@ -31,7 +36,8 @@ SIMILARITY = (75, 100)
 RADIUS = 3
 # Items of so many words or more are searched by windows of so many words, which
 # start at every so manieth word of a document. Shorter items by their length.
-WINDOW_SIZES = ((24, 16, 4), (12, 8, 4), (5, 5, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+# Size and step less one are together the longest unbroken run to count on.
+WINDOW_SIZES = ((24, 13, 4), (12, 8, 3), (5, 5, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
 # Bytes of one index row in a broadcast, with its hash-map entry.
 INDEX_ROW_BYTES = 100
 
@@ -113,40 +119,6 @@ def _blocks(f: Column, radius: int) -> Column:
     return F.array(*keys)
 
 
-def _extra(values: str) -> Column:
-    """The values of a sorted array column that repeat the one before."""
-    return F.filter(values, lambda x, i: (i > 0) & (F.get(values, i - 1) == x))
-
-
-def _common() -> Column:
-    """Sum of the smaller multiplicities of the values of the sorted arrays ``a`` and ``b``.
-
-    Values in both count once; what repeats, as a rule nothing, is in ``more_a``
-    and ``more_b`` and is compared apart.
-    """
-    def times(values: str, x: Column) -> Column:
-        return F.size(F.filter(values, lambda y: y == x))
-
-    repeats = F.aggregate(
-        F.array_intersect("more_a", "more_b"),
-        F.lit(0),
-        lambda n, x: n + F.least(times("more_a", x), times("more_b", x)),
-    )
-    return F.size(F.array_intersect("a", "b")) + repeats
-
-
-def _shingles(h: Column, k: int) -> Column:
-    """Hashes of the shingles of ``k`` words in an array of word hashes, repeats kept."""
-    last = F.size(h) - k
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-
-
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -186,7 +158,8 @@ def find_leaks(
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    measured = _measured(docs, items, every, similarity, broadcast_bytes)
+    pairs = written(_pairs(items, every), "pairs")
+    measured = _measured(docs, items, pairs, similarity, broadcast_bytes)
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("first"))).alias("best")
     return measured.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", F.col("best.similarity").alias("similarity"),
@@ -203,9 +176,8 @@ def _nothing(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _index(items: DataFrame, size: int, radius: int) -> DataFrame:
     """Every window of the items, once for each block of its fingerprint."""
     windows = _windows(items.select("item_no", F.col("item_h").alias("h")), size, 1)
-    return windows.select(
-        "item_no", F.col("start").alias("offset"), F.col("f").alias("item_f"),
-        F.explode(_blocks(F.col("f"), radius)).alias("block"),
+    return windows.select("item_no", F.col("f").alias("item_f")).distinct().select(
+        "item_no", "item_f", F.explode(_blocks(F.col("item_f"), radius)).alias("block")
     )
 
 
@@ -217,52 +189,100 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, index: DataFrame, size: int, step: int, radius: int) -> DataFrame:
-    """Where an item would start in a document by windows within the radius, each once."""
+    """Per text and item where the first and the last window within the radius begin."""
     windows = _windows(_hashed(docs), size, step).select("doc_id", "text_hash", "start", "f")
     looked = windows.withColumn("block", F.explode(_blocks(F.col("f"), radius)))
     near = looked.join(F.broadcast(index), "block").where(
         F.bit_count(F.col("f").bitwiseXOR(F.col("item_f"))) <= radius
     )
-    first = F.greatest(F.col("start") - F.col("offset"), F.lit(0))
-    return near.select("doc_id", "text_hash", "item_no", first.alias("first_word")).distinct()
+    return near.groupBy("doc_id", "text_hash", "item_no").agg(
+        F.min("start").alias("first_hit"), F.max("start").alias("last_hit")
+    )
+
+
+def _pairs(items: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The candidates numbered, with the words where windows around their hits begin and end."""
+    return candidates.join(items.select("item_no", "item_id", "words"), "item_no").select(
+        F.monotonically_increasing_id().alias("pair_no"), "doc_id", "text_hash", "item_no", "item_id", "words",
+        F.greatest(F.col("first_hit") - F.col("words"), F.lit(0)).alias("low"),
+        (F.col("last_hit") + F.col("words")).alias("high"),
+    )
+
+
+def _shingles(rows: DataFrame, k: int, low: Column, high: Column) -> DataFrame:
+    """A row per shingle of ``k`` words in ``h`` that begins in ``low`` to ``high``: ``at`` and ``x``."""
+    kept = [c for c in rows.columns if c != "h"]
+    high = F.least(high, F.size("h") - k)
+    starts = F.when(high >= low, F.sequence(low, F.greatest(high, low)))
+    return rows.withColumn("at", F.explode(starts)).select(
+        *kept, "at", F.xxhash64(*[F.get("h", F.col("at") + j) for j in range(k)]).alias("x")
+    )
 
 
 def _measured(
-    docs: DataFrame, items: DataFrame, candidates: DataFrame, similarity: tuple[int, int],
+    docs: DataFrame, items: DataFrame, pairs: DataFrame, similarity: tuple[int, int],
     broadcast_bytes: int,
 ) -> DataFrame:
-    """The candidates that are similar enough, with their similarity."""
+    """The windows that are similar enough, where a run of alike ones begins or ends."""
     top, bottom = similarity
-    few = keep_only(docs.select("doc_id", "text"), candidates, "doc_id", limit=broadcast_bytes)
-    size = items.agg(F.sum(F.col("words") * 8 + INDEX_ROW_BYTES)).head()[0] or 0
-    found = candidates.join(F.broadcast(items) if size <= broadcast_bytes else items, "item_no")
-    found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    few = keep_only(docs.select("doc_id", "text"), pairs, "doc_id", limit=broadcast_bytes)
+    sought = pairs.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
     rows = _hashed(few)
-    aligned = rows.join(
-        found, rows["doc_id"].eqNullSafe(found["__id"]) & (rows["text_hash"] == found["__hash"])
-    ).select(
-        "doc_id", "item_id", "first_word", "words", "item_h",
-        F.slice("h", F.col("first_word") + 1, F.col("words")).alias("window"),
-    )
+    near = rows.join(
+        sought, rows["doc_id"].eqNullSafe(sought["__id"]) & (rows["text_hash"] == sought["__hash"])
+    ).select("h", "pair_no", "item_no", "words", "low", "high")
+    short = min(SHINGLE, items.agg(F.min("words")).head()[0] or SHINGLE)
     parts = []
-    for k in range(1, SHINGLE + 1):
+    for k in range(short, SHINGLE + 1):
         of_k = F.col("words") == k if k < SHINGLE else F.col("words") >= SHINGLE
-        shingled = aligned.where(of_k).select(
-            "doc_id", "item_id", "first_word",
-            F.sort_array(_shingles(F.col("window"), k)).alias("a"),
-            F.sort_array(_shingles(F.col("item_h"), k)).alias("b"),
-        ).withColumns({"more_a": _extra("a"), "more_b": _extra("b")})
-        # inline() keeps the optimizer from computing arrays anew wherever they are used.
-        counts = F.array(F.struct(_common().alias("common"), (F.size("a") + F.size("b")).alias("both")))
-        parts.append(shingled.select("doc_id", "item_id", "first_word", F.inline(counts)))
-    short = items.agg(F.min("words")).head()[0] or SHINGLE
-    every = parts[-1]
-    for part in parts[short - 1 : -1]:
+        own = items.where(of_k).select("item_no", F.col("item_h").alias("h"))
+        own = _shingles(own, k, F.lit(0), F.size("h")).groupBy("item_no", "x").agg(
+            F.count(F.lit(1)).cast("int").alias("times")
+        )
+        own = written(own, "shingles")
+        if own.count() * INDEX_ROW_BYTES <= broadcast_bytes:
+            own = F.broadcast(own)
+        there = near.where(of_k).select(
+            "h", "pair_no", "item_no", "low", "high",
+            (F.col("words") - k + 1).alias("m"), (F.size("h") - k + 1).alias("last"),
+        )
+        shared = _shingles(there, k, F.col("low"), F.col("high")).join(own, ["item_no", "x"])
+        parts.append(shared.select("pair_no", "x", "at", "times", "m", "last", "low"))
+    every = parts[0]
+    for part in parts[1:]:
         every = every.unionByName(part)
-    union = F.col("both") - F.col("common")
-    return every.where(F.col("common") * bottom >= union * top).select(
-        "doc_id", "item_id", "first_word", (F.col("common") / union).alias("similarity")
+    # Rows that repeat id and text find the same places. The steps after this stay within a task.
+    places = every.groupBy("pair_no", "x", "times", "m", "last", "low").agg(
+        F.sort_array(F.collect_set("at")).alias("ats")
+    ).repartition("pair_no")
+
+    # An occurrence counts where fewer than the item has of it follow in the window.
+    def counted(at: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("ats", i - F.col("times")), F.lit(-1))
+        return F.struct(F.greatest(at - F.col("m"), before, F.col("low") - 1).alias("after"), at.alias("upto"))
+
+    runs = places.select("pair_no", "m", "last", F.explode(F.transform("ats", counted)).alias("run"))
+    ends = F.explode(F.array(
+        F.struct((F.col("run.after") + 1).alias("at"), F.lit(1).alias("more")),
+        F.struct((F.col("run.upto") + 1).alias("at"), F.lit(-1).alias("more")),
+    ))
+    steps = runs.select("pair_no", "m", "last", ends.alias("end")).groupBy("pair_no", "m", "last", "end.at").agg(
+        F.sum("end.more").alias("more")
+    )
+    along = Window.partitionBy("pair_no").orderBy("at")
+    alike = steps.select(
+        "pair_no", "m", "last", "at", F.lead("at").over(along).alias("next"),
+        F.sum("more").over(along).alias("common"),
+    ).where("common > 0")
+    # Windows that the text's end cuts short are the more similar the later they begin.
+    windows = alike.select(
+        "pair_no", "m", "last", "common", F.explode(F.array("at", F.col("next") - 1)).alias("first_word")
+    )
+    union = F.col("m") + F.least("m", F.col("last") - F.col("first_word")) - F.col("common")
+    enough = windows.where(F.col("common") * bottom >= union * top).select(
+        "pair_no", "first_word", (F.col("common") / union).alias("similarity")
     )
+    return enough.join(pairs.select("pair_no", "doc_id", "item_id"), "pair_no").drop("pair_no")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -112,6 +112,56 @@ def test_simhash_is_the_majority_of_the_shingle_hashes(spark):
             assert r.f & ((1 << 64) - 1) == sum(1 << b for b in range(64) if votes[b] > n // 2)
 
 
+def every_window(docs, items):
+    """Best similarity and its first place over all windows of each item's length."""
+    best = {}
+    for item_id, text in items:
+        item = text.split()
+        k = min(5, len(item))
+        mine = Counter(tuple(item[j : j + k]) for j in range(len(item) - k + 1))
+        for doc_id, text, *_ in docs:
+            words = text.split()
+            for start in range(len(words) - k + 1):
+                window = words[start : start + len(item)]
+                bag = Counter(tuple(window[j : j + k]) for j in range(len(window) - k + 1))
+                common, union = sum((bag & mine).values()), sum((bag | mine).values())
+                if common * 100 >= union * 75:
+                    found = (common / union, -start)
+                    best[doc_id, item_id] = max(best.get((doc_id, item_id), found), found)
+    return {key: (similarity, -first) for key, (similarity, first) in best.items()}
+
+
+def test_parts_in_another_order_and_cut_passages_against_every_window(spark):
+    rng = random.Random(5)
+    lengths = [5, 6, 9, 11, 12, 13, 17, 23, 24, 28, 32, 33, 36, 40, 60, 200]
+    items = [(i, sentence(1000 + i, n)) for i, n in enumerate(lengths)]
+    items.append((len(items), " ".join(f"r{i % 7}" for i in range(40))))
+    docs = []
+
+    def add(words, before, after):
+        docs.append(row(len(docs), " ".join([*sentence(3000 + len(docs), before).split(), *words,
+                                             *sentence(4000 + len(docs), after).split()])))
+
+    for _, text in items:
+        item = text.split()
+        half = len(item) // 2
+        for before in range(4):
+            add(item[half:] + item[:half], 30 + before, 30)
+            add(item[: -(-len(item) * 5 // 6)], before, 0)
+            add(item[:half] + item[half + 1 :], before, 0)
+        cuts = sorted(rng.sample(range(1, len(item)), 2))
+        parts = [item[: cuts[0]], item[cuts[0] : cuts[1]], item[cuts[1] :]]
+        add(parts[2] + parts[0] + parts[1], rng.randrange(30), 20)
+        add(item + item[half:] + item, 3, 40)
+    expected = every_window(docs, items)
+    assert {12, 32, 36, 200} <= {lengths[i] for _, i in expected if i < len(lengths)}
+    for copies in (1, 2):
+        frame = spark.createDataFrame(docs * copies, SCHEMA)
+        found = find_leaks(frame, spark.createDataFrame(items, ITEMS)).collect()
+        assert len(found) == len(expected)
+        assert {(r.doc_id, r.item_id): (r.similarity, r.first_word) for r in found} == expected
+
+
 def test_leaking_documents_go(spark):
     docs, items = planted(3)
     docs += [row(None, "clean text of no benchmark at all"), row(99, None)]
