@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return minhash.deduplicated(docs)
+    """One document of each group of near-duplicates; unlike texts under one id all stay."""
+    return minhash.deduplicated(docs, unlike_apart=True)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cases import SCHEMA, awkward, row, sentence, shingles
 from conftest import TESTDATA
 from starloom.llm import minhash, wordhash
@@ -90,6 +91,18 @@ def test_one_document_of_each_group_stays(spark):
     assert ids.count(None) == 1
 
 
+def test_pipeline_keeps_unlike_texts_that_share_an_id(spark):
+    rows = [*awkward(), row(14, sentence(4, 29) + " changed"), row(14, sentence(1, 40)), row(3, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("root", F.lit("extra"))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    # Of the rows of 14 one text is a copy of 6, and two are near copies of each other.
+    assert sorted(r.doc_id for r in found if r.doc_id is not None) == [1, 2, 3, 4, 6, 9, 11, 12, 13, 14, 14]
+    own = {r.text for r in found if r.doc_id == 14}
+    assert sentence(3, 30) in own and own & {sentence(4, 30), sentence(4, 29) + " changed"}
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(3)
     errors = []
