@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     decontaminate,
+    divergence,
     language,
     minhash,
     mixing,
+    packing,
     sharding,
     sketch,
+    spelling,
     token_counts,
     toxicity,
     url_filter,
@@ -84,6 +87,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.weigh_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
@@ -95,6 +111,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_mixing": op10_mixing,
+    "op11_packing": op11_packing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 

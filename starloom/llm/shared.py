@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
@@ -14,6 +15,17 @@ from pyspark.sql import functions as F
 # A table may be broadcast up to this size, measured before it is.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def pieces_of(data: bytes, size: int = 1 << 23) -> Iterator[bytes]:
+    """``data`` in order, cut at white space into pieces of ``size`` or a little more."""
+    at = 0
+    while len(data) - at > size and (found := _SPACE.search(data, at + size)):
+        yield data[at : found.start()]
+        at = found.end()
+    yield data[at:] if at else data
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``, which every executor reaches.

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from cases import SCHEMA, awkward, lower, row, sentence
+from starloom.llm import divergence
+
+
+def plain(rows, least=3, top=200):
+    """The contract term by term in whole numbers of any size."""
+    counts, docs = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang, source, *_ in rows:
+        lang, source = lang or "", source or ""
+        terms = [lower(t) for t in re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text or "")]
+        counts[lang, source].update(terms)
+        docs[lang].update(set(terms))
+    out = set()
+    for lang in {key[0] for key in counts}:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        groups = {s: c for (l, s), c in counts.items() if l == lang}
+        whole = sum(groups.values(), Counter())
+
+        def shares(c):
+            total = sum(c[t] for t in kept)
+            return [1 + 10**9 * (c[t] + 1) // (total + len(kept)) for t in kept]
+
+        p, q = {s: shares(c) for s, c in groups.items()}, shares(whole)
+        for s in groups:
+            pairs = [(sum((a - b) ** 2 // b for a, b in zip(p[s], p[o])), o) for o in groups if o != s]
+            terms = [((a - b) ** 2 // b, t) for t, a, b in zip(kept, p[s], q) if a > b and groups[s][t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda f: (-f[0], f[1].encode()))
+                for rank, (value, item) in enumerate(found[:most], 1):
+                    out.add((lang, s, part, item, value, rank))
+    return out
+
+
+def got(df):
+    rows = [(r.lang, r.source, r.part, r["item"], r["value"], r["rank"]) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def drawn(n=400, seed=1):
+    draw = random.Random(seed)
+    return [
+        row(i, sentence(draw.randint(0, 9), draw.randint(0, 60)).replace("w", "xé Qa"), draw.choice(["en", "de", None]),
+            "hot" if i % 3 else f"s{draw.randint(0, 6)}")
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_blocks_do_not_change_sums(spark, block):
+    words = "alpha Beta über gamma delta beta aéa zeta x y".split(" ")
+    draw = random.Random(block)
+    rows = [
+        row(i, "-".join(draw.choices(words, weights=range(1, 11), k=draw.randint(0, 30))), draw.choice(["en", "de", None]),
+            "hot" if i % 3 else draw.choice(["a", "b", "é", None]))
+        for i in range(150)
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as term", "1 as n", "2 as item").repartition(4)
+    assert got(divergence.audit_sources(docs, block=block)) == plain(rows)
+
+
+def test_awkward_rows(spark):
+    rows = awkward() + [row(30, None, "xx", "a"), row(31, "1 2 3", "xx", "b"), row(32, "word", "xx", "c")]
+    rows += [row(40 + i, "rare Common common", None, f"s{i % 4}") for i in range(6)]
+    found = got(divergence.audit_sources(spark.createDataFrame(rows, SCHEMA)))
+    assert found == plain(rows)
+    # A language that keeps no term still has its pairs, at 0.
+    assert {r for r in found if r[0] == "xx"} == {
+        ("xx", s, "pair", o, 0, i) for s in "abc" for i, o in enumerate(sorted(set("abc") - {s}), 1)
+    }
+    assert got(divergence.audit_sources(spark.createDataFrame([], SCHEMA))) == set()
+    assert got(divergence.audit_sources(spark.createDataFrame([row(1, "a b c")], SCHEMA))) == set()
+
+
+def test_only_top_terms(spark):
+    rows = [row(i, " ".join(f"t{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(i % 7, 300, 1 + i % 5)), "en", f"s{i % 3}")
+            for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert got(divergence.audit_sources(docs, top=10)) == plain(rows, top=10)
+
+
+def test_long_texts_are_cut_between_terms():
+    text = "abc " * 10 + "é" * 50 + "1" + "Word9" * 40
+    whole = [t for part in divergence._term_lists(text) for t in part]
+    from starloom.llm.shared import pieces_of
+
+    data = text.encode().translate(divergence._TERM_BYTES)
+    for size in (1, 5, 64, 1000):
+        assert [t for part in pieces_of(data, size) for t in part.split()] == whole
+
+
+def test_counts_beyond_64_bits(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(10**17, 10**18, 10**6)], "n long, total long, terms long")
+    value = df.select(divergence.share(F.col("n"), F.col("total"), F.col("terms"))).head()[0]
+    assert value == 1 + 10**9 * (10**17 + 1) // (10**18 + 10**6)

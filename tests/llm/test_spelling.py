@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+from cases import SCHEMA, awkward, lower, row
+from conftest import TESTDATA
+from starloom.llm import spelling
+from starloom.llm.queries import QUERIES
+
+
+def counted(rows, least_chars=6, least=5, every=199):
+    found = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            found[run] += len(run) >= least_chars
+    return {word: n for word, n in found.items() if n >= least}
+
+
+def near(words):
+    """Neighbours by patterns with one letter left open."""
+    patterns, out = defaultdict(set), {}
+    for w in words:
+        for i in range(len(w)):
+            patterns[w[:i], w[i + 1 :]].add(w)
+    for w in words:
+        found = set()
+        for i in range(len(w)):
+            found |= patterns[w[:i], w[i + 1 :]]
+            found |= {w[:i] + w[i + 1 :]} & set(words)
+        for i in range(len(w) + 1):
+            found |= patterns.get((w[:i], w[i:]), set())
+        out[w] = found - {w}
+    return out
+
+
+def plain(counts, ratio=5):
+    forms, out = {}, {}
+    for w, others in near(counts).items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        forms[w] = (best if best and counts[best] >= ratio * counts[w] else None, len(others))
+    for w, (form, n_near) in forms.items():
+        root = w
+        while forms[root][0]:
+            root = forms[root][0]
+        out[w] = (form, root, counts[w], n_near, counts.get(form))
+    return out
+
+
+def check(got, expected):
+    assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in got} == expected
+    assert len(got) == len(expected)
+
+
+def test_awkward_rows(spark):
+    rows = awkward() * 3 + [row(20, "Variant variant varient variant. VARIANT variants " * 9 + "Ölümer ölümer " * 6)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as word", "1 as n")
+    expected = plain(counted(rows))
+    assert expected["variants"][0] is None or expected["variants"][0] == "variant"
+    check(spelling.spelling_variants(docs).collect(), expected)
+    assert spelling.spelling_variants(docs.limit(0)).collect() == []
+
+
+def test_every_neighbour_of_random_words(spark):
+    """Many words of few letters, so that neighbours are everywhere, and runs of equal letters."""
+    draw = random.Random(3)
+    words = {"".join(draw.choice("abcé") for _ in range(draw.randint(1, 9))) for _ in range(1500)}
+    words |= {"a" * n for n in range(1, 13)} | {"a" * n + "b" for n in range(12)}
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    got = defaultdict(set)
+    for r in spelling.neighbours(table).collect():
+        assert r.near not in got[r.word]
+        got[r.word].add(r.near)
+    assert {w: n for w, n in near(words).items() if n} == dict(got)
+
+
+def test_long_words(spark):
+    """Words about the length at which the trie ends, and far beyond it."""
+    draw = random.Random(4)
+    words = set()
+    for n in (62, 63, 64, 65, 66, 300):
+        base = "".join(draw.choice("xyz") for _ in range(n))
+        for at in (0, 1, n // 2, 63, 64, n - 1):
+            words |= {base, base[:at] + "q" + base[at:], base[:at] + base[at + 1 :], base[:at] + "r" + base[at + 1 :]}
+    words.add("x" * 20_000)
+    words.add("x" * 20_001)
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    got = defaultdict(set)
+    for r in spelling.neighbours(table).collect():
+        got[r.word].add(r.near)
+    assert {w: n for w, n in near({w for w in words if len(w) < 1000}).items() if n} == {
+        w: n for w, n in got.items() if len(w) < 1000
+    }
+    assert got["x" * 20_000] == {"x" * 20_001}
+
+
+def test_chains_and_ties(spark):
+    """A chain of forms leads to its end; of equally frequent ones the smallest is the form."""
+    times = {"stamps": 1, "stampe": 5, "stampf": 5, "stumpe": 25, "stumpen": 125, "strumpen": 625}
+    rows = [row(1, " ".join(" ".join([w] * (5 * n)) for w, n in times.items()))]
+    expected = plain(counted(rows, every=1 << 40))
+    assert expected["stamps"][:2] == ("stampe", "strumpen")
+    check(spelling.spelling_variants(spark.createDataFrame(rows, SCHEMA), every=1 << 40).collect(), expected)
+
+
+def test_a_prefix_shared_by_most_words(spark):
+    """Below a hot prefix the edges are joined by broadcast, elsewhere not."""
+    draw = random.Random(5)
+    letters = "abcdefghij"
+    words = {"prefix" + "".join(draw.choice(letters) for _ in range(4)) for _ in range(3000)}
+    words |= {"".join(draw.choice(letters) for _ in range(6)) for _ in range(1500)}
+    table = spark.createDataFrame([(w,) for w in words], "word string").repartition(5)
+    got = defaultdict(set)
+    for r in spelling.neighbours(table).collect():
+        got[r.word].add(r.near)
+    assert {w: n for w, n in near(words).items() if n} == dict(got)
+
+
+def test_registered_query(spark):
+    folder = str(TESTDATA / "sf0.01")
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    check(QUERIES["op13_spelling_variants"](spark, folder).collect(), plain(counted(rows)))
