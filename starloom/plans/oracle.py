@@ -287,6 +287,12 @@ select {LATE_COLUMNS} from retried where not {MISSING}""",
 select {LATE_COLUMNS}, false as processed_flag from newer where {MISSING}
 union
 select {LATE_COLUMNS}, false as processed_flag from retried where {MISSING}""",
+    "late_stream_cycles": f"""{LATE}
+select distinct {LATE_COLUMNS}, 0 as cycle from cycle where not {MISSING}
+union all
+(select {LATE_COLUMNS}, 1 as cycle from newer where not {MISSING}
+union
+select {LATE_COLUMNS}, 1 as cycle from retried where not {MISSING})""",
     "dq_completeness": _rules(1),
     "dq_regex": _rules(2),
     "dq_range": _rules(3, 6),

@@ -19,6 +19,7 @@ from starloom.plans.inputs import COMPLETED, CUSTOMER_SPEC, SNAPSHOT_DAYS
 from starloom.sources import read_csv_apart, read_table_list, schemas, write_csv
 from starloom.sources.files import MALFORMED
 from starloom.sources.scratch import scratch_path
+from starloom.streaming import released_facts, start_late_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,6 +221,22 @@ def late_still_suspended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _second_cycle(spark, sf_dir)[1]
 
 
+def late_stream_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both cycles over a stream: all released facts, with the cycle that released them."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "feed")
+    checkpoint = scratch_path(spark, "stream")
+    for late_arrived in (False, True):
+        arriving = _cycle(spark, sf_dir, first=not late_arrived)
+        arriving.write.mode("append").parquet(landing)
+        raw = spark.readStream.schema(arriving.schema).parquet(landing)
+
+        def keys(session: SparkSession, late_arrived: bool = late_arrived) -> list[star.DimensionKey]:
+            return inputs.dimension_keys(session, sf_dir, late_arrived)
+
+        start_late_feed(raw, keys, root, checkpoint).awaitTermination()
+    return released_facts(spark, root)
+
+
 # Data quality ---------------------------------------------------------------
 
 
@@ -411,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "late_retry": late_retry,
     "late_next_cycle": late_next_cycle,
     "late_still_suspended": late_still_suspended,
+    "late_stream_cycles": late_stream_cycles,
     "dq_completeness": _dq(1),
     "dq_regex": _dq(2),
     "dq_range": _dq(3, 6),

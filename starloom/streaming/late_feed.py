@@ -1,14 +1,19 @@
 """The suspense cycle of late-arriving dimensions over a stream of facts.
 
-Each micro-batch is one cycle. It reads what the cycle before left suspended,
+Each micro-batch is one cycle. It reads what the round before left suspended,
 writes its own facts once, ready and suspended apart, and never touches an
-older cycle. A batch repeated after a failure overwrites its own directory from
-the same input, so no fact is released twice.
+older cycle. A round counts from its commit record on, which is written last,
+under ``_commits/<cycle>/<round>``: released facts and the next cycle go by the
+records alone. So a batch repeated after a failure is either found committed and
+left as it is, with the rounds that followed it, or its data counted for nobody
+and is written anew. No fact is released twice.
+
+A batch looks at the records of its own and the neighbouring cycles only,
+however many there are.
 """
 
 from __future__ import annotations
 
-import re
 from typing import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,7 +31,7 @@ from starloom.operators.late import (
 )
 from starloom.operators.star import DimensionKey
 
-_PLACE = re.compile(r"/cycle=(\d+)/round=(\d+)/")
+_RECORD = "cycle LONG, round LONG"
 
 KeySource = Callable[[SparkSession], Sequence[DimensionKey]]
 
@@ -45,12 +50,19 @@ def start_late_feed(
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        found = keys(spark)
-        done = [place for place in _rounds(spark, root) if place[0] != batch_id]
-        if any(of > batch_id for of, _ in done):
+        if _last_round(spark, root, batch_id) is not None:
+            return
+        if _last_round(spark, root, batch_id + 1) is not None:
             raise ValueError(f"{root} holds cycles after {batch_id}; its checkpoint is not this stream's")
-        waiting = _waiting(spark, root, max(done), raw, found) if done else None
+        before = _last_round(spark, root, batch_id - 1) if batch_id else None
+        if batch_id and before is None:
+            raise ValueError(f"{root} lacks the cycle before {batch_id}; its checkpoint is not this stream's")
+        found = keys(spark)
+        waiting = _waiting(spark, root, (batch_id - 1, before), raw, found) if batch_id else None
         land_cycle(resolve_cycle(batch, waiting, found), _path(root, batch_id, 0), "overwrite")
+        if batch_id and _last_round(spark, root, batch_id - 1) != before:
+            raise RuntimeError(f"waiting facts were released while cycle {batch_id} ran; start it again")
+        _commit(spark, root, batch_id, 0)
 
     return (
         raw.writeStream.foreachBatch(cycle)
@@ -67,17 +79,19 @@ def release_waiting(raw: DataFrame, keys: KeySource, root: str) -> int:
     columns. Returns how many were released; nothing is written if none were.
     """
     spark = raw.sparkSession
-    done = _rounds(spark, root)
-    if not done:
+    last = _records(spark, root).agg(F.max(F.struct("cycle", "round")).alias("last")).head()["last"]
+    if last is None:
         return 0
-    last, found = max(done), keys(spark)
-    waiting = _waiting(spark, root, last, raw, found)
+    cycle, number, found = last["cycle"], last["round"], keys(spark)
+    waiting = _waiting(spark, root, (cycle, number), raw, found)
     nothing = spark.createDataFrame([], raw.schema)
-    path = _path(root, last[0], last[1] + 1)
-    resolved = resolve_cycle(nothing, waiting, found)
-    released = resolved.where(F.col(PROCESSED)).count()
+    # Without a record the directory counts for nobody, also if this is given up.
+    ready, _ = land_cycle(resolve_cycle(nothing, waiting, found), _path(root, cycle, number + 1), "overwrite")
+    released = ready.count()
     if released:
-        land_cycle(resolved, path)
+        if _last_round(spark, root, cycle + 1) is not None or _last_round(spark, root, cycle) != number:
+            raise RuntimeError(f"another round followed cycle {cycle} meanwhile; release again")
+        _commit(spark, root, cycle, number + 1)
     return released
 
 
@@ -87,7 +101,9 @@ def released_facts(spark: SparkSession, root: str) -> DataFrame:
     Only the partitions of ready facts are read.
     """
     cycles = spark.read.option("basePath", root).parquet(root)
-    return cycles.where(F.col(PROCESSED).cast("boolean")).drop(PROCESSED, "round")
+    ready = cycles.where(F.col(PROCESSED).cast("boolean")).drop(PROCESSED)
+    counting = _records(spark, root).select(F.col("cycle").cast("int"), F.col("round").cast("int"))
+    return ready.join(counting, ["cycle", "round"], "left_semi").drop("round")
 
 
 def _path(root: str, batch_id: int, number: int) -> str:
@@ -101,14 +117,23 @@ def _waiting(
     return stored.where(~is_processed())
 
 
-def _rounds(spark: SparkSession, root: str) -> list[tuple[int, int]]:
-    """The cycles and rounds under ``root``, told from the names of its directories."""
+def _commit(spark: SparkSession, root: str, cycle: int, number: int) -> None:
+    """Note that a round is complete. A record cut short by a failure is replaced."""
+    record = spark.createDataFrame([(cycle, number)], _RECORD).coalesce(1)
+    record.write.mode("overwrite").parquet(f"{root}/_commits/{cycle}/{number}")
+
+
+def _records(spark: SparkSession, root: str, cycle: int | None = None) -> DataFrame:
+    """The rounds that count, of one cycle or of all."""
+    path = f"{root}/_commits" if cycle is None else f"{root}/_commits/{cycle}"
     try:
-        files = spark.read.option("basePath", root).parquet(root).inputFiles()
+        return spark.read.schema(_RECORD).option("recursiveFileLookup", True).parquet(path)
     except AnalysisException:
-        return []
-    places = (_PLACE.search(name) for name in files)
-    return sorted({(int(found[1]), int(found[2])) for found in places if found})
+        return spark.createDataFrame([], _RECORD)
+
+
+def _last_round(spark: SparkSession, root: str, cycle: int) -> int | None:
+    return _records(spark, root, cycle).agg(F.max("round")).head()[0]
 
 
 def _claim(spark: SparkSession, root: str, checkpoint: str) -> None:

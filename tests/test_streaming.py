@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import shutil
+
 import pytest
 
 import samples
@@ -68,3 +71,51 @@ def test_another_streams_root_is_refused(spark, scratch):
     with pytest.raises(ValueError, match="belongs to the stream"):
         start_late_feed(raw, keys, root, f"{scratch}/other")
     assert released_facts(spark, root).count() == before
+
+
+@pytest.mark.parametrize("lost", ["stream commit", "commit record"])
+def test_a_replayed_batch_releases_nothing_twice(spark, scratch, lost):
+    """The driver dies after a batch landed; dimensions arrive; the stream replays the batch."""
+    landing, root, checkpoint = (f"{scratch}/{name}" for name in ("in", "out", "check"))
+    first = samples.orders(spark, samples.ORDERS, samples.LATE_ORDERS)
+    first.coalesce(1).write.parquet(landing)
+    raw = spark.readStream.schema(first.schema).parquet(landing)
+
+    def late(session):
+        return keys(session, samples.customers(session, True), samples.products(session, True))
+
+    start_late_feed(raw, keys, root, checkpoint).awaitTermination()
+    for name in ("0", ".0.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    if lost == "commit record":
+        shutil.rmtree(f"{root}/_commits/0")
+        # What is not committed is neither released nor retried.
+        assert released_facts(spark, root).count() == 0
+    assert release_waiting(raw, late, root) == (3 if lost == "stream commit" else 0)
+    start_late_feed(raw, late, root, checkpoint).awaitTermination()
+    released = released_facts(spark, root)
+    assert released.count() == released.select("order_id").distinct().count() == 18
+    assert release_waiting(raw, late, root) == 0
+    samples.orders(spark, samples.NEXT_ORDERS).coalesce(1).write.mode("append").parquet(landing)
+    start_late_feed(raw, late, root, checkpoint).awaitTermination()
+    released = released_facts(spark, root)
+    assert released.count() == released.select("order_id").distinct().count() == 21
+
+
+def test_a_release_given_up_counts_for_nobody(spark, scratch):
+    landing, root, checkpoint = (f"{scratch}/{name}" for name in ("in", "out", "check"))
+    first = samples.orders(spark, samples.ORDERS, samples.LATE_ORDERS)
+    first.coalesce(1).write.parquet(landing)
+    raw = spark.readStream.schema(first.schema).parquet(landing)
+
+    def late(session):
+        return keys(session, samples.customers(session, True), samples.products(session, True))
+
+    start_late_feed(raw, keys, root, checkpoint).awaitTermination()
+    assert release_waiting(raw, late, root) == 3
+    shutil.rmtree(f"{root}/_commits/0/1")
+    assert released_facts(spark, root).count() == 15
+    samples.orders(spark, samples.NEXT_ORDERS).coalesce(1).write.mode("append").parquet(landing)
+    start_late_feed(raw, late, root, checkpoint).awaitTermination()
+    released = released_facts(spark, root)
+    assert released.count() == released.select("order_id").distinct().count() == 21
