@@ -146,7 +146,9 @@ def trie_neighbours(words: DataFrame) -> DataFrame:
     edges = written(trie_edges(words).withColumn("hot", warm).sortWithinPartitions("depth"), "edges")
     kinds = {(r.depth, r.hot) for r in edges.select("depth", "hot").distinct().collect()}
     path = shared_folder(spark, "levels")
-    states = words.select("word", F.lit(0).alias("position"), F.lit("").alias("node"), F.lit(0).alias("edits"))
+    # The root by the word itself: a constant would make the join one without a key.
+    root = F.substring("word", F.lit(1), F.lit(0))
+    states = words.select("word", F.lit(0).alias("position"), root.alias("node"), F.lit(0).alias("edits"))
     schema = states.select("*", F.col("word").alias("found")).schema
     levels = 0
     while {(levels, True), (levels, False)} & kinds:
