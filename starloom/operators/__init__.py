@@ -1,13 +1,20 @@
 from starloom.operators.archive import (
     Archive,
+    Outcome,
+    archive_list,
     archive_manifest,
     archive_name,
     archive_quarter,
+    archive_quarters,
     archive_tables,
     checksum,
+    done_archives,
     droppable_copies,
     expired_archives,
+    live_manifest,
     rows_between,
+    store_manifest,
+    sweep,
 )
 from starloom.operators.calendar import date_dimension, date_dimension_over, days_between
 from starloom.operators.keys import assign_surrogate_keys, max_key
@@ -54,12 +61,15 @@ __all__ = [
     "Archive",
     "DimensionKey",
     "Lookup",
+    "Outcome",
     "Rule",
     "ScdSpec",
     "Skew",
+    "archive_list",
     "archive_manifest",
     "archive_name",
     "archive_quarter",
+    "archive_quarters",
     "archive_tables",
     "assign_surrogate_keys",
     "build_inserts",
@@ -73,6 +83,7 @@ __all__ = [
     "date_dimension",
     "date_dimension_over",
     "days_between",
+    "done_archives",
     "droppable_copies",
     "duplicate_values",
     "expire_changed",
@@ -83,6 +94,7 @@ __all__ = [
     "initial_dimension",
     "key_history",
     "land_cycle",
+    "live_manifest",
     "load_fact",
     "max_key",
     "new_rows",
@@ -98,5 +110,7 @@ __all__ = [
     "scd2_replay",
     "split_cycle",
     "split_suspended",
+    "store_manifest",
+    "sweep",
     "top_customers",
 ]

@@ -331,6 +331,21 @@ select quarter_start, quarter_end, row_count,
        'orders_snapshot_' || strftime(quarter_start, '%Y%m%d') || '_'
          || strftime(quarter_end, '%Y%m%d') as archive_name
 from ended where quarter_end + 365 <= date '{EXPIRY_NOW}'""",
+    "archive_append": f"""select * from orders
+where cast(o_orderdate as date) between {ARCHIVED_FROM} and {ARCHIVED_TO}""",
+    "archive_cycle": f"""with quarters as (
+  select cast(date_trunc('quarter', o_orderdate) as date) as q, count(*) as n from orders group by 1),
+dated as (
+  select *, strftime(q, '%Y%m%d') || '_' || strftime(q + interval 3 month - interval 1 day, '%Y%m%d') as days,
+         cast(q + interval 3 month as date) - 1 + 365 <= date '{EXPIRY_NOW}' as expired,
+         row_number() over (order by q) as first_of, row_number() over (order by q desc) as last_of
+  from quarters)
+select 'orders_snapshot_' || days as archive_name, case when expired then 'expired' else 'kept' end as fate,
+       n as row_count, false as droppable_copy from dated
+union all
+select 'orders_copy_' || days, 'copied', n, true from dated where last_of <= 2
+union all
+select 'orders_copy_' || days, 'unnamed', null, false from dated where first_of = 1""",
     "replace_text_deep": f"""select event_id, event_type,
        replace(event_type, '{KEYWORD}', '{REPLACEMENT}') as name,
        replace(event_type, '{KEYWORD}', '{REPLACEMENT}') || '|'

@@ -382,6 +382,41 @@ def expired_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.expired_archives(manifest, EXPIRY_NOW)
 
 
+def archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter that comes into its working copy in two loads, one of them repeated."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    out = scratch_path(spark, "archive")
+    for load, part in (("even", 0), ("odd", 1), ("even", 0)):
+        rows = orders.where(F.pmod("o_orderkey", F.lit(2)) == part)
+        done = archive.archive_quarter(
+            rows, "orders", "o_orderdate", ARCHIVE_AS_OF, out, kind="copy", load=load
+        )
+    return archive.read_archive(spark, done)
+
+
+def archive_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every quarter of orders archived and noted, and what could be deleted later.
+
+    The last two quarters also have working copies, and a run that failed has left a
+    copy of the first one which no manifest row names.
+    """
+    orders = inputs.table(spark, sf_dir, "orders")
+    out, log = scratch_path(spark, "archive"), scratch_path(spark, "manifest")
+    day = F.col("o_orderdate").cast("date")
+    ends = orders.select(F.add_months(F.trunc(day, "quarter"), 3).alias("day")).distinct()
+    days = sorted(row["day"] for row in ends.collect())
+    made = archive.archive_quarters(spark, orders, "orders", "o_orderdate", days, out)
+    made += archive.archive_quarters(spark, orders, "orders", "o_orderdate", days[-2:], out, "copy")
+    if failed := [one for one in made if one.error]:
+        raise RuntimeError(f"{len(failed)} archives failed, first {failed[0]}")
+    archive.archive_quarter(orders, "orders", "o_orderdate", days[0], out, kind="copy")
+    done = archive.done_archives(spark, out)
+    archive.store_manifest(archive.archive_manifest(spark, done), log)
+    can_go = [copy.name for copy in archive.droppable_copies(done, done)]
+    swept = archive.sweep(spark, out, log, EXPIRY_NOW)
+    return swept.withColumn("droppable_copy", F.col("archive_name").isin(can_go))
+
+
 # Nested records -------------------------------------------------------------
 
 
@@ -439,7 +474,9 @@ QUERIES: dict[str, Query] = {
     "dq_duplicates": dq_duplicates,
     "previous_quarter": previous_quarters,
     "archive_quarter": archive_quarter,
+    "archive_append": archive_append,
     "archive_by_catalog": archive_by_catalog,
+    "archive_cycle": archive_cycle,
     "archive_manifest": archive_manifest,
     "csv_round_trip": csv_round_trip,
     "expired_archives": expired_archives,

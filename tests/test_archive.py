@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,8 +114,81 @@ def test_partitioned_archives_keep_their_types(orders, scratch, spark):
         assert archive.read_archive(spark, done).schema["code"].dataType.simpleString() == "string"
 
 
-def test_a_copy_can_be_appended_to(orders, scratch, spark):
-    for part, mode in ((0, None), (1, "append")):
-        rows = orders.where(F.col("id") % 2 == part)
-        done = archive.archive_quarter(rows, "t", "at", "1998-01-15", scratch, "copy", mode=mode)
+def test_a_repeated_load_replaces_its_own_rows(orders, scratch, spark):
+    def load(name, part, rows=orders):
+        return archive.archive_quarter(
+            rows.where(F.col("id") % 2 == part), "t", "at", "1998-01-15", scratch, "copy", load=name
+        )
+
+    load("a", 0), load("b", 1)
+    done = load("a", 0)
     assert archive.read_archive(spark, done).count() == 92 * 4
+    assert archive.read_archive(spark, done).columns == orders.columns
+    load("b", 1, orders.limit(0))
+    assert archive.read_archive(spark, done).count() == 92 * 2
+    # A copy made without a load is replaced as a whole, and takes loads as well.
+    half = orders.where(F.col("id") % 2 == 0)
+    done = archive.archive_quarter(half, "t", "at", "1998-01-15", scratch, "copy")
+    assert archive.read_archive(spark, done).count() == 92 * 2
+    load("b", 1)
+    assert archive.read_archive(spark, done).count() == 92 * 4
+    for kind, name in (("snapshot", "a"), ("copy", "a/b"), ("copy", "")):
+        with pytest.raises(ValueError, match="loads are added"):
+            archive.archive_quarter(orders, "t", "at", "1998-01-15", scratch, kind, load=name)
+
+
+def test_a_list_takes_up_where_it_stopped(orders, scratch, spark):
+    spark.sql("create database if not exists listed")
+    try:
+        for name in ("one", "two", "four"):
+            orders.drop("m").write.partitionBy("day").option("path", f"{scratch}/{name}").saveAsTable(f"listed.{name}")
+        tables = [f"listed.{name}" for name in ("one", "two", "three", "four")]
+        out = f"{scratch}/out"
+        # What a run that died has left: an archive without a record.
+        archive.archive_quarter(spark.table("listed.two").limit(0), "listed.two", "day", "1998-02-10", out)
+        first = archive.archive_list(spark, tables, "1998-02-10", out)
+        assert [one.label for one in first] == tables
+        assert [one.error is None for one in first] == [True, True, False, True]
+        assert not any(one.made_before for one in first)
+        orders.drop("m").write.partitionBy("day").option("path", f"{scratch}/three").saveAsTable("listed.three")
+        again = archive.archive_list(spark, tables, "1998-02-10", out)
+        assert [one.made_before for one in again] == [True, True, False, True]
+        assert all(archive.read_archive(spark, one.archive).count() == 368 for one in again)
+        assert {a.table for a in archive.done_archives(spark, out)} == set(tables)
+    finally:
+        spark.sql("drop database listed cascade")
+
+
+def test_stored_manifest_and_sweep(orders, scratch, spark):
+    out, log = f"{scratch}/out", f"{scratch}/log"
+    assert archive.live_manifest(spark, log).count() == 0
+    days = [dt.date(1998, 1, 1), dt.date(1998, 4, 1)]
+    archive.archive_quarters(spark, orders, "orders", "at", days, out)
+    archive.archive_quarters(spark, orders, "orders", "at", days[1:], out, kind="copy")
+    archive.archive_quarter(orders, "left", "at", days[0], out, kind="copy")
+    manifest = archive.archive_manifest(spark, archive.done_archives(spark, out))
+    assert archive.store_manifest(manifest, log) == 0
+    quarter = {0: "19971001_19971231", 1: "19980101_19980331"}
+
+    def fates(now):
+        return {r["archive_name"]: r["fate"] for r in archive.sweep(spark, out, log, now).collect()}
+
+    expected = {
+        f"orders_snapshot_{quarter[0]}": "kept", f"orders_snapshot_{quarter[1]}": "kept",
+        f"orders_copy_{quarter[1]}": "copied", f"left_copy_{quarter[0]}": "unnamed",
+    }
+    assert fates("1998-12-30") == expected
+    assert fates("1998-12-31") == expected | {f"orders_snapshot_{quarter[0]}": "expired"}
+    # Dropped rows are noted, and what is still there belongs to nobody.
+    gone = archive.expired_archives(archive.live_manifest(spark, log), "1998-12-31")
+    assert archive.store_manifest(gone, log, "dropped") == 1
+    assert archive.live_manifest(spark, log).count() == 2
+    assert fates("1998-12-31") == expected | {f"orders_snapshot_{quarter[0]}": "unnamed"}
+    shutil.rmtree(f"{out}/orders_snapshot_{quarter[0]}")
+    shutil.rmtree(f"{out}/orders_snapshot_{quarter[1]}")
+    assert fates("1998-12-31") == {
+        f"orders_snapshot_{quarter[1]}": "missing", f"orders_copy_{quarter[1]}": "copied",
+        f"left_copy_{quarter[0]}": "unnamed",
+    }
+    with pytest.raises(ValueError, match="kept or dropped"):
+        archive.store_manifest(gone, log, "lost")
