@@ -15,12 +15,15 @@ does share a band is either in one component already, or compared.
   exact copies are never expanded.
 * First each member of a band's bucket is compared with two pivots, the
   bucket's smallest and largest node.
-* Buckets that still hold several components are then searched for pairs
-  across components whose signatures of 1024 values agree in 0.695 of them, as
-  all but 3e-5 of the pairs at 0.75 do. Very large buckets are cut by a
-  second band first: a linked pair shares one of the other 31 with probability
-  1 - 8e-6. What is large even then is compared in blocks. Nothing is capped.
-* Candidates become links only by their full sets of 64-bit shingle hashes.
+* Buckets that still hold several components are then searched for links
+  across them. One task gets a bucket's full sets, counts the common hashes of
+  all its pairs by a product of incidence matrices, and hands on only links that
+  join components not yet joined in it: fewer than the bucket has components,
+  however many pairs are near misses. Buckets of the same members are searched
+  once. Very large buckets are cut by a second band first: a linked pair shares
+  one of the other 31 with probability 1 - 8e-6. What is large even then is
+  searched in pairs of blocks. Nothing is capped.
+* Links are told by full sets of 64-bit shingle hashes, never by signatures.
 """
 
 from __future__ import annotations
@@ -39,29 +42,28 @@ from starloom.llm.wordhash import mix, shingle_sets
 
 PERMUTATIONS = 64
 BANDS = 32
-# Functions of the finer signature, one byte a value, by which pairs across
-# components are judged before their sets are compared, and the share to agree.
-FINE_PERMUTATIONS = 512
-FINE_SHARE = 0.695
 SIMILARITY = (75, 100)
-# Open buckets beyond this are cut by a second band; groups are compared in
-# blocks of this many members.
+# Open buckets beyond this are cut by a second band; groups are searched in
+# blocks of this many members, or as many as have so many shingles.
 LARGE = 4096
-BLOCK = 512
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
+# Cells of an incidence matrix held at a time.
+CELLS = 1 << 23
 
 _VALUES = 2 * PERMUTATIONS
 _RANDOM = np.random.default_rng(75_100)
-_TIMES = _RANDOM.integers(0, 1 << 63, FINE_PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RANDOM.integers(0, 1 << 63, FINE_PERMUTATIONS, dtype=np.uint64)
+_TIMES = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 _ROWS = 2048
 
 
-def signature(shingles: np.ndarray, functions: int = PERMUTATIONS) -> np.ndarray:
+def signature(shingles: np.ndarray) -> np.ndarray:
     """Minimum and maximum of each hash function over a set's hashes, side by side."""
-    low = np.full(functions, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(functions, np.uint64)
+    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(PERMUTATIONS, np.uint64)
     for at in range(0, len(shingles), _ROWS):
-        values = shingles[at : at + _ROWS, None] * _TIMES[:functions] + _PLUS[:functions]
+        values = shingles[at : at + _ROWS, None] * _TIMES + _PLUS
         np.minimum(low, values.min(axis=0), out=low)
         np.maximum(high, values.max(axis=0), out=high)
     return np.stack([low, high], axis=1).ravel()
@@ -82,11 +84,6 @@ def _node(shingles: np.ndarray) -> bytes:
     return b"".join(int(s).to_bytes(8, "big") for s in sums)
 
 
-def _fine(shingles: np.ndarray) -> bytes:
-    """The finer signature: eight bits of each value."""
-    return (signature(shingles, FINE_PERMUTATIONS) >> np.uint64(48)).astype(np.uint8).tobytes()
-
-
 def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
@@ -119,9 +116,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([_node(s) for s in sets], pa.binary()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    pa.array([_fine(s) for s in sets], pa.binary()),
                 ],
-                names=["node", "hashes", "fine"],
+                names=["node", "hashes"],
             )
 
 
@@ -174,16 +170,15 @@ def _components(
     )
     members = nodes.select("node", "n", F.explode("bands").alias("band"))
     pairs = written(_pivot_pairs(members, similarity), "pairs")
-    sets = None
-    links = None
     if not pairs.isEmpty():
         sets = _sets(docs, nodes, members)
         links = written(_confirmed(pairs, sets, similarity), "links")
         roots = written(connected_components(links), "roots")
-        rest = written(_pairs_across(nodes, roots, sets, pairs, similarity, large), "pairs")
+        rest = written(_links_across(nodes, roots, sets, similarity, large), "links")
         if not rest.isEmpty():
-            links = links.unionByName(_confirmed(rest, sets, similarity))
-            roots = written(connected_components(links), "roots")
+            # Within the old components each node is tied to its root, which is enough.
+            tied = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = written(connected_components(tied.unionByName(rest)), "roots")
         homes = roots.join(nodes.select("node", "doc_id"), "node")
         first = homes.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         found = homes.join(first, "root").select("node", "root", "component_id")
@@ -227,17 +222,15 @@ def _pivot_pairs(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, hashes, fine`` of the nodes that share a bucket with another one."""
+    """``node, hashes`` of the nodes that share a bucket with another one."""
     shared = members.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = shared.where("lo <> hi").select("band")
     needed = members.join(shared, "band", "left_semi").select("node").distinct()
     needed = written(nodes.select("node", "doc_id").join(needed, "node", "left_semi"), "needed")
     again = keep_only(docs.select("doc_id", "text"), needed, "doc_id", limit=BROADCAST_BYTES)
-    rows = again.select("text").mapInArrow(
-        _set_rows, "node binary, hashes array<bigint>, fine binary"
-    )
+    rows = again.select("text").mapInArrow(_set_rows, "node binary, hashes array<bigint>")
     rows = rows.join(needed.select("node"), "node", "left_semi")
-    return written(rows.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("fine").alias("fine")), "sets")
+    return written(rows.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -254,110 +247,124 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -
     ).select("a", "b")
 
 
-def _open(members: DataFrame, key: str) -> DataFrame:
-    """Members of the buckets of ``key`` that hold several components, with the bucket's size."""
-    held = members.groupBy(key).agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with the bucket's sizes.
+
+    Of buckets with the same members, told by a sum over them, one is left.
+    """
+    held = members.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("volume"), F.bit_xor(F.xxhash64("node")).alias("same"),
     )
-    return members.join(held.where("lo <> hi").select(key, "size"), key)
+    held = held.where("lo <> hi").groupBy("size", "volume", "same").agg(F.min("key").alias("key"))
+    return members.join(held.drop("same"), "key")
 
 
-def _pairs_across(
-    nodes: DataFrame, roots: DataFrame, sets: DataFrame, done: DataFrame,
-    similarity: tuple[int, int], large: int,
+def _links_across(
+    nodes: DataFrame, roots: DataFrame, sets: DataFrame, similarity: tuple[int, int], large: int
 ) -> DataFrame:
-    """Pairs in one bucket, of two components, alike by signature and not compared before."""
+    """``a, b``: links that tie components which share a bucket wherever any of their members are linked."""
     known = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = known.select("node", "root", F.posexplode("bands").alias("band", "key"))
-    opened = written(_open(members, "key"), "open")
+    members = known.select("node", "root", "n", F.explode("bands").alias("key"))
+    opened = written(_open(members), "open")
     few = opened.where(F.col("size") <= large)
     # A second band cuts large buckets; its key names both bands, in order.
-    many = opened.where(F.col("size") > large).select("node", "root", "key")
+    many = opened.where(F.col("size") > large).select("node", "root", "n", "key")
     cut = (
         many.join(nodes.select("node", F.explode("bands").alias("other")), "node")
         .where("key <> other")
-        .select("node", "root", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
+        .select("node", "root", "n", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
         .distinct()
     )
-    groups = few.unionByName(_open(cut, "key").withColumn("band", F.lit(0)))
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    groups = few.unionByName(_open(cut))
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("volume") / F.lit(BLOCK_SHINGLES)))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Each member goes to every pair of blocks that its own block is part of.
     spread = (
-        groups.withColumn("blocks", blocks)
+        groups.withColumn("blocks", blocks.cast("int"))
         .withColumn("own", own)
         .withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.xxhash64("key", F.least("own", "peer"), F.greatest("own", "peer")).alias("group"),
-            "node",
-            "root",
-            "band",
-            "own",
-            "peer",
+            F.xxhash64("key", F.least("own", "peer"), F.greatest("own", "peer")).alias("group"), "node", "root"
         )
-        .join(sets.select("node", F.size("hashes").alias("n"), "fine"), "node")
-        .join(nodes.select("node", "bands"), "node")
+        .join(sets, "node")
     )
     top, bottom = similarity
     found = spread.repartition("group").sortWithinPartitions("group").mapInArrow(
-        lambda batches: _alike(batches, top, bottom), "a binary, b binary"
+        lambda batches: _linked(batches, top, bottom), "a binary, b binary"
     )
-    return found.distinct().join(done, ["a", "b"], "left_anti")
+    return found.distinct()
 
 
-def _alike(batches: Iterator[pa.RecordBatch], top: int, bottom: int) -> Iterator[pa.RecordBatch]:
-    """Pairs within each run of equal groups; the last run waits for the next batch."""
-    waiting = None
+def _linked(batches: Iterator[pa.RecordBatch], top: int, bottom: int) -> Iterator[pa.RecordBatch]:
+    """Links within each run of equal groups; the last run waits for the next batch."""
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if waiting is not None:
-            table = pa.concat_tables([waiting, table])
-        groups = table["group"].to_numpy()
-        last = int(np.searchsorted(groups, groups[-1])) if len(groups) else 0
-        if last:
-            yield from _compare(table.slice(0, last), top, bottom)
-        waiting = table.slice(last)
-    if waiting is not None and waiting.num_rows:
-        yield from _compare(waiting, top, bottom)
-
-
-def _compare(table: pa.Table, top: int, bottom: int) -> Iterator[pa.RecordBatch]:
-    groups = table["group"].to_numpy()
-    sizes = table["n"].to_numpy()
-    nodes = np.array(table["node"].to_pylist(), dtype=object)
-    roots = np.unique(np.array(table["root"].to_pylist(), dtype="S16"), return_inverse=True)[1]
-    fine = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(len(groups), -1)
-    least = FINE_SHARE * fine.shape[1]
-    keys = np.array(table["bands"].to_pylist(), np.int64).reshape(len(groups), -1)
-    band, own, peer = (table[c].to_numpy() for c in ("band", "own", "peer"))
-    edges = np.flatnonzero(np.diff(groups)) + 1
-    a: list[bytes] = []
-    b: list[bytes] = []
-    for start, end in zip([0, *edges], [*edges, len(groups)]):
-        for i in range(start, end - 1):
-            rest = slice(i + 1, end)
-            may = (roots[rest] != roots[i]) & (
-                np.minimum(sizes[rest], sizes[i]) * bottom >= np.maximum(sizes[rest], sizes[i]) * top
-            )
-            # A pair is looked at in one place: where its blocks meet, in the
-            # first bucket that it shares.
-            if own[i] != peer[i]:
-                may &= own[rest] != own[i]
-            if band[i]:
-                may &= ~(keys[rest, : band[i]] == keys[i, : band[i]]).any(axis=1)
-            at = np.flatnonzero(may) + i + 1
-            if len(at):
-                at = at[(fine[at] == fine[i]).sum(axis=1) >= least]
-                for j in at:
-                    a.append(min(nodes[i], nodes[j]))
-                    b.append(max(nodes[i], nodes[j]))
-        if len(a) >= 10_000:
-            yield _pair_batch(a, b)
-            a, b = [], []
-    yield _pair_batch(a, b)
-
-
-def _pair_batch(a: list[bytes], b: list[bytes]) -> pa.RecordBatch:
+        groups = batch.column("group").to_numpy()
+        if not len(groups):
+            continue
+        starts = [0, *(np.flatnonzero(np.diff(groups)) + 1), len(groups)]
+        if waiting and waiting[0].column("group")[0].as_py() != groups[0]:
+            yield _link_batch(_tied(pa.Table.from_batches(waiting), top, bottom))
+            waiting = []
+        out: list[tuple[bytes, bytes]] = []
+        for start, end in zip(starts, starts[1:]):
+            waiting.append(batch.slice(start, end - start))
+            if end < len(groups):
+                out += _tied(pa.Table.from_batches(waiting), top, bottom)
+                waiting = []
+        yield _link_batch(out)
+    if waiting:
+        yield _link_batch(_tied(pa.Table.from_batches(waiting), top, bottom))
+
+
+def _common(hashes: np.ndarray, owners: np.ndarray, few: np.ndarray, n: int) -> np.ndarray:
+    """How many hashes each member in ``few`` has in common with each of the ``n`` members."""
+    values, columns, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    common = np.zeros((len(few), n), np.float32)
+    # Hashes of one member alone are common to none.
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(values), -1)
+    place[shared] = np.arange(len(shared))
+    columns = place[columns]
+    order = np.argsort(columns, kind="stable")
+    columns, owners = columns[order], owners[order]
+    wide = max(1, CELLS // n)
+    for low in range(0, len(shared), wide):
+        part = slice(*np.searchsorted(columns, [low, low + wide]))
+        cells = np.zeros((n, min(wide, len(shared) - low)), np.float32)
+        cells[owners[part], columns[part] - low] = 1
+        common += cells[few] @ cells.T
+    return common
+
+
+def _tied(table: pa.Table, top: int, bottom: int) -> list[tuple[bytes, bytes]]:
+    """Links by which the components in one group hang together: fewer than components.
+
+    Common hashes are whole numbers below 2**24, which single precision keeps.
+    """
+    names = table["node"].to_pylist()
+    labels = np.unique(np.array(table["root"].to_pylist(), "S16"), return_inverse=True)[1]
+    column = table["hashes"].combine_chunks()
+    hashes, n = column.flatten().to_numpy(), len(names)
+    sizes = column.value_lengths().to_numpy().astype(np.int64)
+    # Members of the largest component are compared with those outside it only.
+    few = np.flatnonzero(labels != np.bincount(labels).argmax())
+    if not len(few):
+        return []
+    common = _common(hashes, np.repeat(np.arange(n), sizes), few, n)
+    out = []
+    for i, row in zip(few, common):
+        linked = row.astype(np.int64) * (bottom + top) >= (sizes[i] + sizes) * top
+        while len(others := np.flatnonzero(linked & (labels != labels[i]))):
+            j = others[0]
+            out.append((min(names[i], names[j]), max(names[i], names[j])))
+            labels[labels == labels[j]] = labels[i]
+    return out
+
+
+def _link_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*pairs) if pairs else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 

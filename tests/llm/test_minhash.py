@@ -75,6 +75,45 @@ def test_large_buckets_are_cut_and_compared_in_blocks(spark, monkeypatch):
     check(spark, varied(2, 3, 40), large=5)
 
 
+def test_links_of_near_misses_grow_in_proportion(spark, monkeypatch):
+    """Members of a group nearly all just below the threshold to each other."""
+    seen = {}
+    real = minhash._links_across
+
+    def counted(*args):
+        found = real(*args)
+        seen["rows"] = found.count()
+        return found
+
+    monkeypatch.setattr(minhash, "_links_across", counted)
+    made = {}
+    for n in (250, 500, 1000):
+        rng, base, rows = random.Random(n), sentence(1, 300).split(), []
+        for i in range(n):
+            own = list(base)
+            for at in rng.sample(range(300), 5):
+                own[at] = f"n{rng.randrange(10**6)}"
+            rows.append(row(i, " ".join(own)))
+        if n == 250:
+            check(spark, rows)
+        else:
+            minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+        made[n] = seen["rows"]
+    # Links that join components, at most one a member and bucket; never pairs.
+    assert made[250] and made[1000] <= 6 * made[250] and made[500] <= 3 * made[250]
+
+
+def test_common_counts_in_narrow_pieces(monkeypatch):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 200), dtype=np.uint64)) for _ in range(40)]
+    owners = np.repeat(np.arange(40), [len(s) for s in sets])
+    few = np.arange(0, 40, 3)
+    for cells in (40, 999, 1 << 20):
+        monkeypatch.setattr(minhash, "CELLS", cells)
+        got = minhash._common(np.concatenate(sets), owners, few, 40)
+        assert got.tolist() == [[len(np.intersect1d(sets[i], s)) for s in sets] for i in few]
+
+
 def test_registered_query_against_every_pair(spark):
     sf_dir = str(TESTDATA / "sf0.001")
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
