@@ -6,9 +6,12 @@ characters to the segments it touches, encodes these anew together with one
 segment on either side, whose far ends no edit within can move, and updates
 the sums on the paths to the root.
 
-Before a single space or newline between two visible characters the tokenizer
-always starts a new pre-token, and never merges across it. So a document's
-count is the sum of its segments' counts, exactly.
+Segments end where the tokenizer starts a new pre-token whatever stands further
+away: before white space that follows a visible character, before the last white
+space in front of one, and where letters, digits and punctuation meet, but for
+apostrophes, which may join letters. It never merges across such a place, so a
+document's count is the sum of its segments' counts, exactly. Only one unbroken
+run of letters, or of white space, is a segment however long it is.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,20 +29,41 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEGMENT_CHARS = 512
 
-_BOUNDARY = re.compile(r"(?<=\S)[ \n](?=\S)")
+# Letters and punctuation that every version of the tables classes alike.
+_LETTER, _MARK = "A-Za-z\u4e00-\u9fa5", r"!-&(-/:-@\[-`{-~、。，！？；：「」（）"
+_BOUNDARY = re.compile(
+    rf"(?<=\S)(?=[ \n\r\t])|(?<=[ \n\r\t])(?=[ \n\r\t]\S)|(?<=[0-9{_LETTER}])(?=[{_MARK}'])"
+    rf"|(?<=[{_MARK}])(?=[0-9{_LETTER}])|(?<=[0-9])(?=[{_LETTER}])|(?<=[{_LETTER}])(?=[0-9])"
+)
+# Runs of white space on which the pattern itself would overflow its stack.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 Encode = Callable[[str], Sequence[int]]
 
 
-@lru_cache(maxsize=2)
 def encoder(ranks: str = RANKS) -> Encode:
-    """The tokenizer whose vocabulary is at ``ranks``, once per Python process."""
+    """The tokenizer whose vocabulary is at ``ranks``.
+
+    A long run of white space is cut as the pattern cuts it, into all but the
+    last character and that with what follows, and encoded without the pattern.
+    """
     import tiktoken
 
     with open(ranks, "rb") as lines:
         vocabulary = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     made = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
-    return made.encode_ordinary
+
+    def encode(text: str) -> Sequence[int]:
+        ids: list[int] = []
+        at = 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += made.encode_ordinary(text[at : run.start()])
+            ids += made._encode_single_piece(text[run.start() : end])
+            at = end
+        return ids + made.encode_ordinary(text[at:]) if at else made.encode_ordinary(text)
+
+    return encode
 
 
 def segments(text: str, chars: int = SEGMENT_CHARS) -> list[str]:
@@ -57,13 +80,18 @@ class TokenTree:
 
     def __init__(self, text: str, encode: Encode, chars: int = SEGMENT_CHARS) -> None:
         self.encode, self.chars = encode, chars
-        self.leaves = segments(text, chars)
         self.encoded_chars = 0
-        self.size = 1 << (len(self.leaves) - 1).bit_length()
+        leaves = segments(text, chars)
+        self._grow(leaves, [self._encoded(leaf) for leaf in leaves])
+
+    def _grow(self, leaves: list[str], counts: list[int]) -> None:
+        """The tree over ``leaves``, whose tokens are known."""
+        self.leaves = leaves
+        self.size = 1 << (len(leaves) - 1).bit_length()
         self.tokens = [0] * (2 * self.size)
         self.length = [0] * (2 * self.size)
-        for i, leaf in enumerate(self.leaves):
-            self._measure(i, leaf)
+        self.tokens[self.size : self.size + len(leaves)] = counts
+        self.length[self.size : self.size + len(leaves)] = map(len, leaves)
         for node in range(self.size - 1, 0, -1):
             self._add_up(node)
 
@@ -75,11 +103,14 @@ class TokenTree:
     def text(self) -> str:
         return "".join(self.leaves)
 
+    def _encoded(self, leaf: str) -> int:
+        self.encoded_chars += len(leaf)
+        return len(self.encode(leaf)) if leaf else 0
+
     def _measure(self, i: int, leaf: str) -> None:
         self.leaves[i] = leaf
         self.length[self.size + i] = len(leaf)
-        self.tokens[self.size + i] = len(self.encode(leaf)) if leaf else 0
-        self.encoded_chars += len(leaf)
+        self.tokens[self.size + i] = self._encoded(leaf)
 
     def _add_up(self, node: int) -> None:
         self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
@@ -111,6 +142,14 @@ class TokenTree:
         region = region[: start - begin] + new + region[end - begin :]
         pieces = segments(region, self.chars)
         places = right - left + 1
+        if len(pieces) > places + 4:
+            # A large insertion gets leaves of its own; the others keep their counts.
+            counts = self.tokens[self.size : self.size + len(self.leaves)]
+            own = [self._encoded(piece) for piece in pieces]
+            self._grow(
+                self.leaves[:left] + pieces + self.leaves[right + 1 :], counts[:left] + own + counts[right + 1 :]
+            )
+            return
         if len(pieces) > places:
             pieces = [*pieces[: places - 1], "".join(pieces[places - 1 :])]
         pieces += [""] * (places - len(pieces))

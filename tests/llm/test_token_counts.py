@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import base64
 import random
 
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 from cases import SCHEMA, awkward
 from conftest import TESTDATA
 from starloom.llm.queries import QUERIES
-from starloom.llm.token_counts import TokenTree, count_tokens, encoder, sample_edits, segments
+from starloom.llm.token_counts import PATTERN, RANKS, TokenTree, count_tokens, encoder, sample_edits, segments
 
-TEXT = st.text(alphabet="ab 1.'s\n\t  é\U0001f600\x1c", max_size=200)
+ENCODE = encoder()
+TEXT = st.text(alphabet="ab 1.'s\n\t  é\U0001f600\x1c日、_\r", max_size=200)
 
 
 def edited(text, edits):
@@ -24,7 +27,7 @@ def edited(text, edits):
 @settings(deadline=None, max_examples=300)
 @given(TEXT, st.lists(st.tuples(st.floats(0, 1), st.integers(0, 30), TEXT.map(lambda t: t[:12])), max_size=6))
 def test_counts_after_edits_equal_those_of_the_whole_text(text, edits):
-    encode = encoder()
+    encode = ENCODE
     tree = TokenTree(text, encode, 4)
     assert tree.count == len(encode(text))
     for place, size, new in edits:
@@ -37,7 +40,7 @@ def test_counts_after_edits_equal_those_of_the_whole_text(text, edits):
 
 
 def test_many_edits_of_one_document_stay_local():
-    encode, rng = encoder(), random.Random(1)
+    encode, rng = ENCODE, random.Random(1)
     text = " ".join(f"word{rng.randrange(999)}" for _ in range(20_000))
     tree = TokenTree(text, encode)
     tree.encoded_chars = 0
@@ -53,11 +56,52 @@ def test_many_edits_of_one_document_stay_local():
 def test_segments_join_to_the_text_and_its_count(text):
     parts = segments(text, 8)
     assert "".join(parts) == text
-    assert sum(len(encoder()(p)) for p in parts) == len(encoder()(text))
+    assert sum(len(ENCODE(p)) for p in parts) == len(ENCODE(text))
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \t\n", "日本"])
+def test_very_long_runs_are_counted(run):
+    """Runs on which the pattern alone would overflow, against shorter ones that it encodes."""
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    plain = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for before, after in (("", ""), ("x", ""), ("", "y"), ("x", " y"), ("x ", ".")):
+        short = run * 2000
+        direct = before + short + after
+        assert list(ENCODE(direct)) == plain.encode_ordinary(direct)
+    text = "a" + run * (5_000_000 // len(run)) + "b"
+    tree = TokenTree(text, ENCODE)
+    assert tree.count == len(ENCODE(text)) and tree.length[1] == len(text)
+
+
+def test_edits_stay_local_without_spaces():
+    rng = random.Random(2)
+    text = "".join(rng.choice(["日本語", "中文", "、", "。", "abc", "12", "(", "x1;"]) for _ in range(400_000))[:700_000]
+    tree = TokenTree(text, ENCODE)
+    tree.encoded_chars = 0
+    for start, end, new in sample_edits(text):
+        tree.edit(start, end, new)
+        text = text[:start] + new + text[end:]
+    assert tree.count == len(ENCODE(text)) and tree.encoded_chars < 0.05 * len(text)
+
+
+def test_large_insertions_get_leaves_of_their_own():
+    rng = random.Random(3)
+    text, new = "short text", " ".join(f"w{rng.randrange(999)}" for _ in range(50_000))
+    tree = TokenTree(text, ENCODE)
+    tree.edit(5, 6, new)
+    text = text[:5] + new + text[6:]
+    tree.encoded_chars = 0
+    for _ in range(20):
+        at = rng.randrange(len(text))
+        tree.edit(at, at, "z ")
+        text = text[:at] + "z " + text[at:]
+    assert tree.text == text and tree.count == len(ENCODE(text))
+    assert tree.encoded_chars < len(text) / 2
 
 
 def check(got, texts):
-    encode = encoder()
+    encode = ENCODE
     for r, text in zip(got, texts):
         new = edited(text, sample_edits(text))
         assert (r.n_chars, r.tokens) == (len(text), len(encode(text)))
