@@ -143,7 +143,12 @@ def train(
     known = written(known.select(F.col("doc_id").alias("id"), *targets), "labelled")
     # The sample is bounded, so it may be broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("id"))
-    chosen = written(rows.select("doc_id", "text", *[f"y{j}" for j in range(len(targets))]), "sample")
+    # An id may be on any number of rows: equal texts count once, and what is still too much is drawn.
+    rows = rows.select("doc_id", "text", *[f"y{j}" for j in range(len(targets))])
+    chosen = written(rows.dropDuplicates(["doc_id", "text"]), "sample")
+    count = chosen.count()
+    if count > 1.25 * sample_rows:
+        chosen = written(chosen.where(draw(seed, "doc_id", "text") < sample_rows / count), "sample")
     vocabulary = _telling(chosen, len(categories), features)
     table = _matrix(chosen, vocabulary, len(categories))
     x = np.zeros((len(table), len(vocabulary)))

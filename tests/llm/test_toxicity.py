@@ -68,6 +68,19 @@ def test_the_sample_is_bounded(spark):
     assert wrong <= 4
 
 
+@pytest.mark.parametrize("alike", [True, False])
+def test_an_id_on_many_rows_does_not_widen_the_sample(spark, monkeypatch, alike):
+    docs, labels = corpus(200)
+    many = [(0, docs[0][1] if alike else f"{docs[0][1]} n{i}", *docs[0][2:]) for i in range(3000)]
+    seen = []
+    real = toxicity._matrix
+    monkeypatch.setattr(toxicity, "_matrix", lambda *args: seen.append(real(*args)) or seen[-1])
+    toxicity.train(
+        spark.createDataFrame(docs + many, SCHEMA), spark.createDataFrame(labels, LABELS), sample_rows=100
+    )
+    assert 0 < len(seen[0]) <= 160
+
+
 def test_later_categories_use_out_of_fold_probabilities():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2, (600, 6)).astype(float)
