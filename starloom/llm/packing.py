@@ -15,7 +15,9 @@ need no padding either.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -35,37 +37,98 @@ CLASSES = 16
 # Bins that wait for it at most, and sequences that it holds at most.
 WAITING = 32
 TOKEN = 4
-# Words remembered with their ids, and characters of the longest of them.
+# Pre-tokens remembered with their ids, and characters of the longest of them.
 REMEMBERED = 400_000
 LONGEST = 64
+# UTF-8 bytes of a text that are split together.
+PIECE = 1 << 20
+# Fixed value: the pre-token pattern that belongs to the vocabulary; texts are lower-cased before.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same over characters that every version of the Unicode tables classes and lower-cases alike
+# and that nothing composes with: visible ASCII, letters of Latin-1 and Chinese characters.
+_SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff\u4e00-\u9fa5"
+_RUN = re.compile(rf"[{_SMALL}]+|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{{-~]+|[0-9]")
+# Words with any other character, or what may be a special token, are left to the tokenizer.
+_OTHER = re.compile(rf"[^\t-\r -~A-Z\u00c0-\u00d6\u00d8-\u00de{_SMALL}]|<\|")
 ROWS = 8192
 
 
-class Words(dict):
-    """Ids of words as little-endian 32-bit numbers, encoded when first asked for.
+class Words:
+    """Ids of pre-tokens as little-endian 32-bit numbers, encoded when first met.
 
-    White space between words is dropped by the vocabulary and nothing is merged
-    across it, so the ids of a text are those of its words in order.
+    Nothing is merged across pre-tokens, so the ids of a text are those of its
+    pre-tokens in order. Plain words are split into them here; the unknown ones of
+    a text are encoded together, and their ids told apart by the word ends that
+    the vocabulary marks. A word with other characters is encoded as it is.
+    A vocabulary that splits in another way encodes whole texts.
     """
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from public_tokenizers import path
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path(vocabulary))
+        self.known: dict[str, bytes] = {}
+        with open(path(vocabulary), encoding="utf-8") as file:
+            made = json.load(file)
+        steps = [step["type"] for step in (made["normalizer"] or {}).get("normalizers", [])]
+        splits = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        suffix = made["model"].get("end_of_word_suffix")
+        self.splits = (
+            steps == ["NFC", "Replace", "Lowercase"]
+            and splits[0].get("pattern") == {"Regex": PATTERN}
+            and suffix == "</w>"
+        )
+        if self.splits:
+            known = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(known.values()) + 1, bool)
+            self.ends[[number for token, number in known.items() if token.endswith(suffix)]] = True
+            # For what is lower-cased and split already.
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        found = np.asarray(ids, "<u4").tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
+    def encoded(self, text: str) -> bytes:
+        if not self.splits:
+            return _ids(self.tokenizer, text).tobytes()
+        return b"".join(self._encoded(piece.decode("utf-8")) for piece in pieces_of(text.encode("utf-8"), PIECE))
+
+    def _encoded(self, text: str) -> bytes:
+        if _OTHER.search(text):
+            # Only ASCII white space parts words here; the tokenizer sees to the rest.
+            words = [word.decode("utf-8") for word in text.encode("utf-8").split()]
+            odd = {word for word in words if _OTHER.search(word)}
+            runs = [run for word in words for run in ([word] if word in odd else _RUN.findall(word.lower()))]
+        else:
+            odd = set()
+            runs = _RUN.findall(text.lower())
+        if len(self.known) >= REMEMBERED:
+            self.known = {}
+        unknown = set(runs).difference(self.known)
+        long = {run for run in unknown if len(run) > LONGEST}
+        self._learn(list(unknown - odd - long))
+        # Also those that could not be told apart.
+        self.known.update((run, _ids(self.tokenizer, run).tobytes()) for run in unknown if run not in self.known)
+        found = b"".join(map(self.known.__getitem__, runs))
+        for run in long:
+            del self.known[run]
         return found
 
-    def encoded(self, text: str) -> bytes:
-        return b"".join(b"".join(map(self.__getitem__, piece.split())) for piece in pieces_of(text.encode("utf-8")))
+    def _learn(self, runs: list[str]) -> None:
+        """Remember plain pre-tokens by one call of the tokenizer."""
+        ids = _ids(self.merges, " ".join(runs))
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * TOKEN
+        if len(ends) == len(runs):
+            data, bounds = ids.tobytes(), ends.tolist()
+            self.known.update(
+                (run, data[start:end]) for run, start, end in zip(runs, [0, *bounds], bounds)
+            )
+
+
+def _ids(tokenizer, text: str) -> np.ndarray:
+    return np.asarray(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
 Piece = tuple[int, int, memoryview]

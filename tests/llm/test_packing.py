@@ -136,3 +136,29 @@ def test_classes_fill_by_count(longest):
     sizes = [sum(len(p[2]) for p in s) // 4 for s in packer.done]
     assert sum(sizes) == total and all(n & (n - 1) == 0 for n in sizes)
     assert sum(n < 1024 for n in sizes) <= 10
+
+
+HELD = packing.Words(packing.VOCABULARY)
+PRETOKENS = [
+    "don't", "DON''T", "it'S", "rock'n'roll's", "a1b22", "x<|endoftext|>y", "<|", "|>", "</w>", "w>", "café", "CAFÉÑ",
+    "café", "İstanbul", "ΟΣ", "漢字abc", "한글", "a b", "a\u001cb", "×÷", "½²", "ßẞ", "ªµ", "!?'s--'ll", "e.g.", "\x00", "\x7f",
+]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(PRETOKENS), st.text(max_size=6)), max_size=12), st.sampled_from([" ", "\n", "\t ", ""]))
+def test_ids_are_those_of_whole_texts(words, space):
+    text = space.join(words)
+    HELD.known = {}
+    for _ in range(2):
+        assert list(struct.iter_unpack("<I", HELD.encoded(text))) == [(i,) for i in ids_of(text)[:-1]]
+
+
+def test_long_words_and_other_vocabularies():
+    held = packing.Words(packing.VOCABULARY)
+    for text in ["x" * 5000 + " y", "!" * 3000, "9" * 500, "é" * 700_000 + " end"]:
+        assert held.encoded(text) == struct.pack(f"<{len(ids_of(text)) - 1}I", *ids_of(text)[:-1])
+    assert not any(len(word) > packing.LONGEST for word in held.known)
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = other.encode("It's  two\n\nlines", add_special_tokens=False).ids
+    assert packing.Words("byte_bpe_50k.json").encoded("It's  two\n\nlines") == struct.pack(f"<{len(ids)}I", *ids)
