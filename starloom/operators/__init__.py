@@ -56,6 +56,7 @@ from starloom.operators.star import (
     load_fact,
     top_customers,
 )
+from starloom.operators.validity import resolve_valid
 
 __all__ = [
     "Archive",
@@ -103,6 +104,7 @@ __all__ = [
     "replace_text_deep",
     "resolve",
     "resolve_cycle",
+    "resolve_valid",
     "retry_suspended",
     "rows_between",
     "run_rules",

@@ -275,6 +275,11 @@ select customer_key, prev_customer_sk, change from change1""",
     "scd2_replay": f"{_loads(2)}select {DIM_COLUMNS} from dim2",
     "current_rows": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where is_current",
     "key_history": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where customer_key = {HISTORY_KEY}",
+    "fact_valid": f"""{_loads(2)}
+select o_orderkey, o_custkey, cast(o_orderdate as date) as order_day,
+    customer_sk, customer_best_priority, customer_credit_tier
+from orders left join dim2
+    on customer_key = o_custkey and cast(o_orderdate as date) between valid_from and valid_to""",
     "late_first_cycle": f"{LATE}select {LATE_COLUMNS} from cycle",
     "late_ready": f"{LATE}select {LATE_COLUMNS} from cycle where not {MISSING}",
     "late_suspended": f"{LATE}select {LATE_COLUMNS}, false as processed_flag from suspended",

@@ -14,6 +14,7 @@ from starloom.operators import archive, late, quality, scd2, star
 from starloom.operators.calendar import date_dimension_over
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.operators.nested import replace_text_deep
+from starloom.operators.validity import resolve_valid
 from starloom.plans import inputs
 from starloom.plans.inputs import COMPLETED, CUSTOMER_SPEC, SNAPSHOT_DAYS
 from starloom.sources import read_csv_apart, read_table_list, schemas, write_csv
@@ -174,6 +175,16 @@ def key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.key_history(scd2_replay(spark, sf_dir), CUSTOMER_SPEC, HISTORY_KEY)
 
 
+def fact_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer as known on the day of the order."""
+    orders = inputs.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_day")
+    )
+    take = ["customer_sk", "customer_best_priority", "customer_credit_tier"]
+    history = scd2_replay(spark, sf_dir)
+    return resolve_valid(orders, history, "o_custkey", "order_day", take, version_key="customer_key")
+
+
 # Late-arriving dimensions ---------------------------------------------------
 
 
@@ -457,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "scd2_replay": scd2_replay,
     "current_rows": current_rows,
     "key_history": key_history,
+    "fact_valid": fact_valid,
     "late_first_cycle": late_first_cycle,
     "late_ready": late_ready,
     "late_suspended": late_suspended,
