@@ -17,6 +17,13 @@ from starloom.operators.archive import (
     sweep,
 )
 from starloom.operators.calendar import date_dimension, date_dimension_over, days_between
+from starloom.operators.distinct import (
+    distinct_counts,
+    distinct_state,
+    merge_states,
+    read_state,
+    save_state,
+)
 from starloom.operators.keys import assign_surrogate_keys, max_key
 from starloom.operators.late import (
     land_cycle,
@@ -84,6 +91,8 @@ __all__ = [
     "date_dimension",
     "date_dimension_over",
     "days_between",
+    "distinct_counts",
+    "distinct_state",
     "done_archives",
     "droppable_copies",
     "duplicate_values",
@@ -98,9 +107,11 @@ __all__ = [
     "live_manifest",
     "load_fact",
     "max_key",
+    "merge_states",
     "new_rows",
     "next_cycle",
     "parse_rules",
+    "read_state",
     "replace_text_deep",
     "resolve",
     "resolve_cycle",
@@ -108,6 +119,7 @@ __all__ = [
     "retry_suspended",
     "rows_between",
     "run_rules",
+    "save_state",
     "scd2_apply",
     "scd2_replay",
     "split_cycle",

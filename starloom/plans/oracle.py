@@ -275,6 +275,10 @@ select customer_key, prev_customer_sk, change from change1""",
     "scd2_replay": f"{_loads(2)}select {DIM_COLUMNS} from dim2",
     "current_rows": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where is_current",
     "key_history": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where customer_key = {HISTORY_KEY}",
+    "category_orders": """
+select p_type as category, count(distinct l_orderkey) as orders
+from lineitem join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey
+group by p_type""",
     "fact_valid": f"""{_loads(2)}
 select o_orderkey, o_custkey, cast(o_orderdate as date) as order_day,
     customer_sk, customer_best_priority, customer_credit_tier

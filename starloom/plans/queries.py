@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import previous_quarter
 from starloom.operators import archive, late, quality, scd2, star
 from starloom.operators.calendar import date_dimension_over
+from starloom.operators.distinct import distinct_counts, distinct_state, read_state, save_state
 from starloom.operators.keys import assign_surrogate_keys
+from starloom.operators.lookup import Lookup, resolve
 from starloom.operators.nested import replace_text_deep
 from starloom.operators.validity import resolve_valid
 from starloom.plans import inputs
@@ -25,6 +27,7 @@ from starloom.streaming import released_facts, start_late_feed
 Query = Callable[[SparkSession, str], DataFrame]
 
 ARCHIVE_AS_OF = "1998-02-10"
+REPEATED_MONTH = "1998-02"
 EXPIRY_NOW = "1999-03-15"
 HISTORY_KEY = 27
 BROKEN_EVERY = 97
@@ -93,6 +96,29 @@ def customer_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(report, "total_amount", "max_price", "min_price")
 
 
+def category_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each category from the bitmaps of each month, one of which is loaded twice."""
+    sold = resolve(
+        inputs.raw_orders(spark, sf_dir).select(
+            "order_id", "product_id", F.date_format("date_id", "yyyy-MM").alias("month")
+        ),
+        [
+            Lookup(
+                inputs.product_dim(spark, sf_dir),
+                {"product_id": "product_id"},
+                ["category"],
+                keys_from=inputs.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id")),
+            )
+        ],
+    )
+    state = distinct_state(sold, ["month", "category"], "order_id")
+    path = scratch_path(spark, "orders-by-month")
+    save_state(state, path, "month")
+    again = sold.where(F.col("month") == REPEATED_MONTH)
+    save_state(distinct_state(again, ["month", "category"], "order_id"), path, "month")
+    return distinct_counts(read_state(spark, path, state), ["category"], "orders")
+
+
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = inputs.customer_dim(spark, sf_dir)
     fact = fact_active(spark, sf_dir)
@@ -456,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "category_sales": category_sales,
     "customer_revenue": customer_revenue,
     "top_customers": top_customers,
+    "category_orders": category_orders,
     "customer_ranking": customer_ranking,
     "dim_initial": dim_initial,
     "surrogate_keys": surrogate_keys,

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators import distinct_counts, distinct_state, merge_states, read_state, save_state
+
+SCHEMA = "load string, grp string, id long"
+
+
+def sample(seed, n=4000):
+    """Ids on both sides of zero and of bucket borders; a third of the rows one group."""
+    rng = random.Random(seed)
+    ids = [None, 0, 1, -1, 32767, 32768, 32769, -32767, -32768, -32769, 2**62, -(2**62), *range(500, 900)]
+    groups = ["a", "b", "c", None]
+    return [
+        (f"2020-{rng.randrange(1, 5):02}", "hot" if i % 3 == 0 else rng.choice(groups), rng.choice(ids))
+        for i in range(n)
+    ] + [("2020-01", "nulls only", None)]
+
+
+def exact(rows):
+    found = {}
+    for _, group, number in rows:
+        found.setdefault(group, set()).update([] if number is None else [number])
+    return {group: len(ids) for group, ids in found.items()}
+
+
+def counts(state):
+    return {r.grp: r.distinct_count for r in distinct_counts(state, ["grp"]).collect()}
+
+
+def test_merged_loads_equal_the_whole(spark):
+    rows = sample(1)
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = distinct_state(df, ["grp"], "id")
+    by_load = distinct_state(df, ["load", "grp"], "id")
+    assert counts(whole) == counts(by_load) == exact(rows)
+    # Merging is associative: loads in two halves, then together.
+    halves = [merge_states(by_load.where(c), ["grp"]) for c in ("load < '2020-03'", "load >= '2020-03'")]
+    assert counts(halves[0].unionByName(halves[1])) == exact(rows)
+
+
+def test_a_repeated_load_counts_once_and_others_stay(spark, scratch):
+    rows = sample(2)
+    df = spark.createDataFrame(rows, SCHEMA)
+    state = distinct_state(df, ["load", "grp"], "id")
+    path = f"{scratch}/state"
+    for _ in range(2):
+        save_state(state.where("load = '2020-01'"), path, "load")
+        save_state(state.where("load > '2020-01'"), path, "load")
+    stored = read_state(spark, path, state)
+    assert stored.columns == state.columns and stored.count() == state.count()
+    assert counts(stored) == exact(rows)
+    # A load that comes again with other rows replaces its earlier ones.
+    fewer = [("2020-01", "a", 5)]
+    save_state(distinct_state(spark.createDataFrame(fewer, SCHEMA), ["load", "grp"], "id"), path, "load")
+    assert counts(read_state(spark, path, state)) == exact([r for r in rows if r[0] != "2020-01"] + fewer)
+
+
+def test_empty_table_and_wrong_type(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert counts(distinct_state(empty, ["grp"], "id")) == {}
+    with pytest.raises(TypeError, match="load"):
+        distinct_state(empty, ["grp"], "load")
+
+
+def test_bitmaps_are_built_before_the_shuffle(spark):
+    df = spark.range(0, 200_000, 1, 8).select(F.lit("x").alias("grp"), "id")
+    state = distinct_state(df, ["grp"], "id")
+    assert state.count() == 8
+    assert "partial_bitmap_construct_agg" in state._jdf.queryExecution().toString()
