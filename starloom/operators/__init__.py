@@ -42,6 +42,7 @@ from starloom.operators.quality import (
     parse_rules,
     run_rules,
 )
+from starloom.operators.rule_state import merge_rule_states, rule_report, rule_state
 from starloom.operators.scd2 import (
     ScdSpec,
     build_inserts,
@@ -107,6 +108,7 @@ __all__ = [
     "live_manifest",
     "load_fact",
     "max_key",
+    "merge_rule_states",
     "merge_states",
     "new_rows",
     "next_cycle",
@@ -118,6 +120,8 @@ __all__ = [
     "resolve_valid",
     "retry_suspended",
     "rows_between",
+    "rule_report",
+    "rule_state",
     "run_rules",
     "save_state",
     "scd2_apply",

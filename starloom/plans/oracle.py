@@ -308,6 +308,7 @@ select {LATE_COLUMNS}, 1 as cycle from retried where not {MISSING})""",
     "dq_uniqueness": _rules(4),
     "dq_consistency": _rules(5),
     "dq_report": _rules(1, 2, 3, 4, 5, 6),
+    "dq_by_load": _rules(1, 2, 3, 4, 5, 6),
     "dq_failing_rows": f"""{LINES}
 select *, concat_ws(',', {_LABELS}) as failed_rules from lines
 where {" or ".join(FAILS.values())}""",

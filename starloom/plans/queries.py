@@ -16,12 +16,13 @@ from starloom.operators.distinct import distinct_counts, distinct_state, read_st
 from starloom.operators.keys import assign_surrogate_keys
 from starloom.operators.lookup import Lookup, resolve
 from starloom.operators.nested import replace_text_deep
+from starloom.operators.rule_state import rule_report, rule_state
 from starloom.operators.validity import resolve_valid
 from starloom.plans import inputs
 from starloom.plans.inputs import COMPLETED, CUSTOMER_SPEC, SNAPSHOT_DAYS
 from starloom.sources import read_csv_apart, read_table_list, schemas, write_csv
 from starloom.sources.files import MALFORMED
-from starloom.sources.scratch import scratch_path
+from starloom.sources.scratch import materialize, scratch_path
 from starloom.streaming import released_facts, start_late_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,6 +291,18 @@ def _dq(*ids: int) -> Query:
     return run
 
 
+def dq_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from the stored state of two loads, of which the second came twice."""
+    lines = materialize(inputs.checked_lines(spark, sf_dir), "checked")
+    rules = quality.parse_rules(_rules(spark))
+    path = scratch_path(spark, "rule-state")
+    for load in ("F", "O", "O"):
+        state = rule_state(lines.where(F.col("l_linestatus") == load), rules)
+        state = state.withColumn("load", F.lit(load))
+        save_state(state, path, "load")
+    return rule_report(read_state(spark, path, state), rules)
+
+
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = quality.failing_rows(inputs.checked_lines(spark, sf_dir), _rules(spark))
     return failed.withColumn("failed_rules", F.array_join("failed_rules", ","))
@@ -509,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "dq_uniqueness": _dq(4),
     "dq_consistency": _dq(5),
     "dq_report": _dq(),
+    "dq_by_load": dq_by_load,
     "dq_failing_rows": dq_failing_rows,
     "dq_duplicates": dq_duplicates,
     "previous_quarter": previous_quarters,
