@@ -16,10 +16,10 @@ def any_differs(pairs: Iterable[tuple[Column, Column]]) -> Column:
     return reduce(or_, [~left.eqNullSafe(right) for left, right in pairs], F.lit(False))
 
 
-def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of a row's columns, taken in the order of their names."""
+def row_hash(df: DataFrame, *first: Column) -> Column:
+    """64-bit hash of a row's columns, taken in the order of their names, after ``first``."""
     fields = sorted(df.schema.fields, key=lambda field: field.name)
-    return F.xxhash64(*[_hashable(F.col(field.name), field.dataType) for field in fields])
+    return F.xxhash64(*first, *[_hashable(F.col(field.name), field.dataType) for field in fields])
 
 
 def _hashable(value: Column, kind: T.DataType) -> Column:

@@ -16,6 +16,14 @@ from starloom.operators.archive import (
     store_manifest,
     sweep,
 )
+from starloom.operators.buckets import (
+    BucketLoad,
+    BucketStore,
+    create_buckets,
+    load_buckets,
+    read_buckets,
+    superseded,
+)
 from starloom.operators.calendar import date_dimension, date_dimension_over, days_between
 from starloom.operators.distinct import (
     distinct_counts,
@@ -68,6 +76,8 @@ from starloom.operators.validity import resolve_valid
 
 __all__ = [
     "Archive",
+    "BucketLoad",
+    "BucketStore",
     "DimensionKey",
     "Lookup",
     "Outcome",
@@ -87,6 +97,7 @@ __all__ = [
     "category_sales",
     "checksum",
     "classify_changes",
+    "create_buckets",
     "current_rows",
     "customer_revenue",
     "date_dimension",
@@ -106,6 +117,7 @@ __all__ = [
     "key_history",
     "land_cycle",
     "live_manifest",
+    "load_buckets",
     "load_fact",
     "max_key",
     "merge_rule_states",
@@ -113,6 +125,7 @@ __all__ = [
     "new_rows",
     "next_cycle",
     "parse_rules",
+    "read_buckets",
     "read_state",
     "replace_text_deep",
     "resolve",
@@ -129,6 +142,7 @@ __all__ = [
     "split_cycle",
     "split_suspended",
     "store_manifest",
+    "superseded",
     "sweep",
     "top_customers",
 ]

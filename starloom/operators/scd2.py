@@ -151,6 +151,7 @@ def scd2_apply(
     snapshot: DataFrame,
     spec: ScdSpec,
     as_of: str | dt.date | Column | None = None,
+    max_sk: int | Column | None = None,
 ) -> DataFrame:
     """The dimension after loading ``snapshot``; the same one if nothing changed.
 
@@ -161,6 +162,8 @@ def scd2_apply(
     table: a broadcast when they are few, so that whole dimension rows are not
     shuffled. Closed versions are passed through.
 
+    New versions are numbered on from ``max_sk``, by default ``dim``'s highest key.
+
     A business key that is NULL or repeats in the snapshot raises, and so does
     an ``as_of`` not after the first day of every version it would close.
     """
@@ -168,9 +171,8 @@ def scd2_apply(
     if as_of is None:
         as_of = snapshot.agg(F.max(spec.snapshot_date).cast("date")).scalar()
     classified = classify_changes(snapshot, dim, spec)
-    staged = _numbered_inserts(
-        classified, spec, max_key(dim, spec.sk), extra=["change", "prev_valid_from"]
-    )
+    start = max_key(dim, spec.sk) if max_sk is None else max_sk
+    staged = _numbered_inserts(classified, spec, start, extra=["change", "prev_valid_from"])
     replacing = staged.where(F.col("change") == CHANGED)
     early = replacing.where(F.col("prev_valid_from") >= date_column(as_of))
     count, latest = early.agg(F.count(F.lit(1)), F.max("prev_valid_from")).head()

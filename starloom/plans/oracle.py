@@ -273,6 +273,7 @@ select customer_key, prev_customer_sk, change from change1""",
     "scd2_unchanged": f"{_loads(1)}select {DIM_COLUMNS} from unchanged1",
     "scd2_apply": f"{_loads(1)}select {DIM_COLUMNS} from dim1",
     "scd2_replay": f"{_loads(2)}select {DIM_COLUMNS} from dim2",
+    "scd2_buckets": f"{_loads(2)}select {DIM_COLUMNS} from dim2",
     "current_rows": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where is_current",
     "key_history": f"{_loads(2)}select {DIM_COLUMNS} from dim2 where customer_key = {HISTORY_KEY}",
     "category_orders": """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import previous_quarter
 from starloom.operators import archive, late, quality, scd2, star
+from starloom.operators.buckets import create_buckets, load_buckets, read_buckets
 from starloom.operators.calendar import date_dimension_over
 from starloom.operators.distinct import distinct_counts, distinct_state, read_state, save_state
 from starloom.operators.keys import assign_surrogate_keys
@@ -32,6 +33,7 @@ REPEATED_MONTH = "1998-02"
 EXPIRY_NOW = "1999-03-15"
 HISTORY_KEY = 27
 BROKEN_EVERY = 97
+DIMENSION_BUCKETS = 16
 KEYWORD, REPLACEMENT = "e", "<E>"
 
 
@@ -194,6 +196,15 @@ def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_replay(dated, CUSTOMER_SPEC)
 
 
+def scd2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history, stored by bucket and loaded twice; the second load is repeated."""
+    first, path = dim_initial(spark, sf_dir), scratch_path(spark, "buckets")
+    store = create_buckets(first, path, CUSTOMER_SPEC, DIMENSION_BUCKETS, SNAPSHOT_DAYS[0])
+    for number in (1, 2, 2):
+        load_buckets(spark, store, _snapshot(spark, sf_dir, number), SNAPSHOT_DAYS[number])
+    return read_buckets(spark, store)
+
+
 def current_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.current_rows(scd2_replay(spark, sf_dir))
 
@@ -506,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "scd2_unchanged": scd2_unchanged,
     "scd2_apply": scd2_apply,
     "scd2_replay": scd2_replay,
+    "scd2_buckets": scd2_buckets,
     "current_rows": current_rows,
     "key_history": key_history,
     "fact_valid": fact_valid,
