@@ -1,4 +1,4 @@
-"""Text rewriting inside nested values, driven by the column's type."""
+"""Text rewriting inside nested values, driven by the column's type or, in variants, the value."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ def holds_text(kind: T.DataType) -> bool:
         return holds_text(kind.valueType)
     if isinstance(kind, T.StructType):
         return any(holds_text(field.dataType) for field in kind.fields)
-    return isinstance(kind, (T.StringType, T.CharType, T.VarcharType))
+    return isinstance(kind, (T.StringType, T.CharType, T.VarcharType, T.VariantType))
 
 
 def replace_text(value: Column, kind: T.DataType, keyword: str, replacement: str) -> Column:
@@ -23,6 +23,7 @@ def replace_text(value: Column, kind: T.DataType, keyword: str, replacement: str
 
     Map keys and field names stay as they are, and so do subtrees without
     text. A NULL struct stays NULL instead of becoming a struct of NULLs.
+    Variants are rewritten as :func:`replace_in_variant` says.
     """
     if not holds_text(kind):
         return value
@@ -34,6 +35,8 @@ def replace_text(value: Column, kind: T.DataType, keyword: str, replacement: str
         return F.transform_values(
             value, lambda _, item: replace_text(item, kind.valueType, keyword, replacement)
         )
+    if isinstance(kind, T.VariantType):
+        return replace_in_variant(value, keyword, replacement)
     if isinstance(kind, T.StructType):
         rebuilt = F.struct(
             *[
@@ -45,3 +48,41 @@ def replace_text(value: Column, kind: T.DataType, keyword: str, replacement: str
         )
         return F.when(value.isNotNull(), rebuilt)
     return F.replace(value, F.lit(keyword), F.lit(replacement))
+
+
+def replace_in_variant(value: Column, keyword: str, replacement: str) -> Column:
+    """An untyped tree with ``keyword`` replaced in every string it holds, keys aside.
+
+    Works on the tree's JSON text, cut at its quotation marks: between the first
+    two, the next two and so on stand strings, and those before a colon are keys.
+    Strings are compared as they read without escapes. A variant without the
+    keyword is left as it is. One that has it and holds what JSON has no type
+    for (dates, times, binary, floats, NaN) fails the query, as those would turn to text;
+    within arrays of mixed types they are not noticed.
+    """
+    # Without these two escapes, each quotation mark is a string's first or last.
+    plain = F.replace(
+        F.replace(F.to_json(value), F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022")
+    )
+    pieces = F.split(plain, '"')
+    following = F.slice(pieces, F.lit(2), F.size(pieces))
+    pairs = F.zip_with(
+        pieces, following, lambda piece, after: F.struct(piece.alias("piece"), after.alias("after"))
+    )
+
+    def rewritten(pair: Column, place: Column) -> Column:
+        piece, after = pair["piece"], pair["after"]
+        is_value = (place % 2 == 1) & ~after.startswith(":")
+        quoted = F.concat(F.lit('"'), piece, F.lit('"'))
+        text = F.when(
+            piece.contains("\\"), F.variant_get(F.parse_json(quoted), "$", "string")
+        ).otherwise(piece)
+        new = F.to_json(F.replace(text, F.lit(keyword), F.lit(replacement)).cast("variant"))
+        inner = F.substring(new, F.lit(2), F.length(new) - 2)
+        return F.when(is_value & text.contains(keyword), inner).otherwise(piece)
+
+    changed = F.array_join(F.transform(pairs, rewritten), '"')
+    kinds = F.schema_of_variant(value)
+    kept = kinds == F.schema_of_variant(F.parse_json(F.to_json(value)))
+    lost = F.raise_error(F.concat(F.lit("JSON has no type for a value in "), kinds)).cast("variant")
+    return F.when(value.isNull() | (changed == plain), value).when(kept, F.parse_json(changed)).otherwise(lost)

@@ -16,7 +16,8 @@ def replace_text_deep(
     """Replace ``keyword`` in every string of ``columns``, at any depth.
 
     All columns by default. Promotes configuration records from one
-    environment's names to another's; map keys and field names are kept.
+    environment's names to another's; map keys and field names are kept, also
+    those of variants.
     """
     chosen = df.columns if columns is None else columns
     rewritten = {

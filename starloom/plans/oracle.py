@@ -363,6 +363,12 @@ select 'orders_copy_' || days, 'unnamed', null, false from dated where first_of
          || replace(props, '{KEYWORD}', '{REPLACEMENT}') as tags,
        event_type as label_key,
        replace(event_type || ':' || props, '{KEYWORD}', '{REPLACEMENT}') as label_value, user_id
+from events""",
+    "replace_text_variant": f"""select event_id, event_type,
+       replace(event_type, '{KEYWORD}', '{REPLACEMENT}') as name,
+       replace(props, '{KEYWORD}', '{REPLACEMENT}') as text, user_id,
+       replace(event_type, '{KEYWORD}', '{REPLACEMENT}') as label,
+       cast(json_extract(props, '$.k') as bigint) as k
 from events""",
 }
 ORACLE["top_customers"] = (

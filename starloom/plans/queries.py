@@ -498,6 +498,34 @@ def replace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replace_text_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in untyped trees: an event's properties as they came, within a tree of its own."""
+    e = F.col("event_type").alias("e")
+    tree = F.struct(
+        F.col("event_type").alias("name"),
+        F.array(
+            F.struct(F.col("props").alias("text"), F.col("user_id").alias("user"), e),
+            F.struct(F.lit(None).cast("string").alias("text"), F.col("user_id").alias("user"), e),
+        ).alias("entries"),
+        F.parse_json("props").alias("props"),
+    )
+    events = inputs.table(spark, sf_dir, "events")
+    trees = events.select("event_id", "event_type", F.to_variant_object(tree).alias("tree"))
+
+    def at(path: str, kind: str) -> Column:
+        return F.variant_get("tree", path, kind)
+
+    return replace_text_deep(trees, KEYWORD, REPLACEMENT, ["tree"]).select(
+        "event_id",
+        "event_type",
+        at("$.name", "string").alias("name"),
+        at("$.entries[0].text", "string").alias("text"),
+        at("$.entries[0].user", "long").alias("user_id"),
+        at("$.entries[1].e", "string").alias("label"),
+        at("$.props.k", "long").alias("k"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "date_dimension": date_dimension,
     "fact_keep": fact_keep,
@@ -546,4 +574,5 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "expired_archives": expired_archives,
     "replace_text_deep": replace_text,
+    "replace_text_variant": replace_text_variant,
 }
