@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,25 +66,47 @@ def replace_in_variant(value: Column, keyword: str, replacement: str) -> Column:
     plain = F.replace(
         F.replace(F.to_json(value), F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022")
     )
-    pieces = F.split(plain, '"')
-    following = F.slice(pieces, F.lit(2), F.size(pieces))
-    pairs = F.zip_with(
-        pieces, following, lambda piece, after: F.struct(piece.alias("piece"), after.alias("after"))
+
+    def replaced(before: Column, after: Column) -> Column:
+        kinds = F.schema_of_variant(value)
+        kept = kinds == F.schema_of_variant(F.parse_json(before))
+        lost = F.raise_error(F.concat(F.lit("JSON has no type for a value in "), kinds)).cast("variant")
+        changed = F.when(kept, F.parse_json(after)).otherwise(lost)
+        return F.when(before.isNull() | (before == after), value).otherwise(changed)
+
+    def joined(pieces: Column) -> Column:
+        following = F.slice(pieces, F.lit(2), F.size(pieces))
+        pairs = F.zip_with(
+            pieces, following, lambda piece, after: F.struct(piece.alias("piece"), after.alias("after"))
+        )
+        return F.array_join(
+            F.transform(pairs, lambda pair, place: _piece(pair, place, keyword, replacement)), '"'
+        )
+
+    return _once(
+        plain,
+        lambda before: _once(
+            _once(F.split(before, '"'), joined), lambda after: replaced(before, after)
+        ),
     )
 
-    def rewritten(pair: Column, place: Column) -> Column:
-        piece, after = pair["piece"], pair["after"]
-        is_value = (place % 2 == 1) & ~after.startswith(":")
-        quoted = F.concat(F.lit('"'), piece, F.lit('"'))
-        text = F.when(
-            piece.contains("\\"), F.variant_get(F.parse_json(quoted), "$", "string")
-        ).otherwise(piece)
+
+def _piece(pair: Column, place: Column, keyword: str, replacement: str) -> Column:
+    """A piece of JSON text between two quotation marks, rewritten if it is a string and no key."""
+    piece, after = pair["piece"], pair["after"]
+    is_value = (place % 2 == 1) & ~after.startswith(":")
+    quoted = F.concat(F.lit('"'), piece, F.lit('"'))
+
+    def rewritten(text: Column) -> Column:
         new = F.to_json(F.replace(text, F.lit(keyword), F.lit(replacement)).cast("variant"))
-        inner = F.substring(new, F.lit(2), F.length(new) - 2)
-        return F.when(is_value & text.contains(keyword), inner).otherwise(piece)
-
-    changed = F.array_join(F.transform(pairs, rewritten), '"')
-    kinds = F.schema_of_variant(value)
-    kept = kinds == F.schema_of_variant(F.parse_json(F.to_json(value)))
-    lost = F.raise_error(F.concat(F.lit("JSON has no type for a value in "), kinds)).cast("variant")
-    return F.when(value.isNull() | (changed == plain), value).when(kept, F.parse_json(changed)).otherwise(lost)
+        return F.when(text.contains(keyword), F.substring(new, F.lit(2), F.length(new) - 2)).otherwise(piece)
+
+    escaped = F.variant_get(F.parse_json(quoted), "$", "string")
+    return F.when(
+        is_value, _once(F.when(piece.contains("\\"), escaped).otherwise(piece), rewritten)
+    ).otherwise(piece)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
