@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -37,30 +38,39 @@ CLASSES = 16
 # Bins that wait for it at most, and sequences that it holds at most.
 WAITING = 32
 TOKEN = 4
-# Pre-tokens remembered with their ids, and characters of the longest of them.
-REMEMBERED = 400_000
+# Pre-tokens and words remembered with their ids, and UTF-8 bytes of the longest of them.
+REMEMBERED = 600_000
 LONGEST = 64
-# UTF-8 bytes of a text that are split together.
+# Pre-tokens encoded by one call.
+CALL = 4096
+# UTF-8 bytes of a text, and of several, that are split together.
 PIECE = 1 << 20
+GROUP = 16 << 20
 # Fixed value: the pre-token pattern that belongs to the vocabulary; texts are lower-cased before.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same over characters that every version of the Unicode tables classes and lower-cases alike
 # and that nothing composes with: visible ASCII, letters of Latin-1 and Chinese characters.
 _SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff\u4e00-\u9fa5"
-_RUN = re.compile(rf"[{_SMALL}]+|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{{-~]+|[0-9]")
+_LARGE = "A-Z\u00c0-\u00d6\u00d8-\u00de"
+_RUN = rf"[{_SMALL}]+|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{{-~]+|[0-9]"
 # Words with any other character, or what may be a special token, are left to the tokenizer.
-_OTHER = re.compile(rf"[^\t-\r -~A-Z\u00c0-\u00d6\u00d8-\u00de{_SMALL}]|<\|")
+_OTHER = rf"[^\t-\r -~{_LARGE}{_SMALL}]|<\|"
 ROWS = 8192
+# Rows of a batch that become Python values together.
+SLICE = 64
 
 
 class Words:
-    """Ids of pre-tokens as little-endian 32-bit numbers, encoded when first met.
+    """Ids of words as little-endian 32-bit numbers, encoded when first met.
 
     Nothing is merged across pre-tokens, so the ids of a text are those of its
-    pre-tokens in order. Plain words are split into them here; the unknown ones of
-    a text are encoded together, and their ids told apart by the word ends that
-    the vocabulary marks. A word with other characters is encoded as it is.
-    A vocabulary that splits in another way encodes whole texts.
+    words in order. Arrow splits several texts at ASCII white space, numbers their
+    distinct words and looks these up. Unknown plain words are split into pre-tokens
+    here and encoded together, and their ids told apart by the word ends that the
+    vocabulary marks. A word with other characters is encoded as it is. A
+    vocabulary that splits in another way encodes whole texts.
+
+    Pre-tokens and such words stay known; at ``REMEMBERED`` of them all are forgotten.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -69,7 +79,7 @@ class Words:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path(vocabulary))
-        self.known: dict[str, bytes] = {}
+        self.known = {}
         with open(path(vocabulary), encoding="utf-8") as file:
             made = json.load(file)
         steps = [step["type"] for step in (made["normalizer"] or {}).get("normalizers", [])]
@@ -90,41 +100,117 @@ class Words:
                 [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
             )
 
+    @property
+    def known(self) -> dict[str, bytes]:
+        return dict(zip(self.words.to_pylist(), self.ids.to_pylist()))
+
+    @known.setter
+    def known(self, ids: dict[str, bytes]) -> None:
+        self.words = pa.array(list(ids), pa.large_string())
+        self.ids = pa.array(list(ids.values()), pa.large_binary())
+
     def encoded(self, text: str) -> bytes:
+        return self.encoded_all([text.encode("utf-8")])[0]
+
+    def encoded_all(self, texts: Sequence[bytes]) -> list[bytes]:
+        """The ids of each of several texts in UTF-8."""
         if not self.splits:
-            return _ids(self.tokenizer, text).tobytes()
-        return b"".join(self._encoded(piece.decode("utf-8")) for piece in pieces_of(text.encode("utf-8"), PIECE))
-
-    def _encoded(self, text: str) -> bytes:
-        if _OTHER.search(text):
-            # Only ASCII white space parts words here; the tokenizer sees to the rest.
-            words = [word.decode("utf-8") for word in text.encode("utf-8").split()]
-            odd = {word for word in words if _OTHER.search(word)}
-            runs = [run for word in words for run in ([word] if word in odd else _RUN.findall(word.lower()))]
-        else:
-            odd = set()
-            runs = _RUN.findall(text.lower())
-        if len(self.known) >= REMEMBERED:
+            return [_ids(self.tokenizer, text.decode("utf-8")).tobytes() for text in texts]
+        parts: list[list[bytes]] = [[] for _ in texts]
+        numbers: list[int] = []
+        pieces: list[bytes] = []
+        size = 0
+
+        def encode() -> None:
+            for number, ids in zip(numbers, self._encoded(pieces)):
+                parts[number].append(ids)
+
+        for number, text in enumerate(texts):
+            for piece in pieces_of(text, PIECE):
+                numbers.append(number)
+                pieces.append(piece)
+                size += len(piece)
+                if size >= GROUP:
+                    encode()
+                    numbers, pieces, size = [], [], 0
+        if pieces:
+            encode()
+        return [held[0] if len(held) == 1 else b"".join(held) for held in parts]
+
+    def _encoded(self, pieces: Sequence[bytes]) -> list[bytes]:
+        # Other texts keep their case: it may tell a special token, or what is composed.
+        plain = [piece.lower() if piece.isascii() and b"<|" not in piece else piece for piece in pieces]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        held = self._found(words.dictionary, self._learned).take(words.indices)
+        offsets = np.frombuffer(held.buffers()[1], "<i8")[split.offsets.to_numpy()].tolist()
+        data = memoryview(held.buffers()[2] or b"")
+        return [data[start:end].tobytes() for start, end in zip(offsets, offsets[1:])]
+
+    def _found(self, words: pa.Array, learn: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of distinct words, known or learned."""
+        at = pc.index_in(words, value_set=self.words)
+        new = at.is_null()
+        unknown, held = words.filter(new), self.ids
+        learned = learn(unknown)
+        rows = at.fill_null(0).to_numpy().astype("i8")
+        rows[new.to_numpy(zero_copy_only=False)] = len(held) + np.arange(len(unknown))
+        return pa.concat_arrays([held, learned]).take(pa.array(rows))
+
+    def _remember(self, words: pa.Array, ids: pa.Array) -> None:
+        if len(self.words) + len(words) > REMEMBERED:
             self.known = {}
-        unknown = set(runs).difference(self.known)
-        long = {run for run in unknown if len(run) > LONGEST}
-        self._learn(list(unknown - odd - long))
-        # Also those that could not be told apart.
-        self.known.update((run, _ids(self.tokenizer, run).tobytes()) for run in unknown if run not in self.known)
-        found = b"".join(map(self.known.__getitem__, runs))
-        for run in long:
-            del self.known[run]
-        return found
-
-    def _learn(self, runs: list[str]) -> None:
-        """Remember plain pre-tokens by one call of the tokenizer."""
-        ids = _ids(self.merges, " ".join(runs))
-        ends = (np.flatnonzero(self.ends[ids]) + 1) * TOKEN
-        if len(ends) == len(runs):
-            data, bounds = ids.tobytes(), ends.tolist()
-            self.known.update(
-                (run, data[start:end]) for run, start, end in zip(runs, [0, *bounds], bounds)
-            )
+        short = pc.less_equal(pc.binary_length(words), LONGEST)
+        self.words = pa.concat_arrays([self.words, words.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, ids.filter(short)])
+
+    def _learned(self, words: pa.Array) -> pa.Array:
+        """The ids of words without ASCII white space."""
+        odd = pc.match_substring_regex(words, _OTHER)
+        plain = pc.utf8_lower(words.filter(pc.invert(odd)))
+        # A space ends each pre-token.
+        runs = pc.split_pattern(pc.replace_substring_regex(plain, _RUN, r"\0 "), " ")
+        distinct = runs.flatten().dictionary_encode()
+        held = self._found(distinct.dictionary, self._merged).take(distinct.indices)
+        offsets = np.frombuffer(held.buffers()[1], "<i8")[runs.offsets.to_numpy()]
+        joined = _binary(offsets, held.buffers()[2])
+        other = odd.to_numpy(zero_copy_only=False)
+        rows = np.empty(len(words), "i8")
+        rows[~other] = np.arange(len(plain))
+        rows[other] = np.arange(len(plain), len(words))
+        others = words.filter(odd)
+        whole = self._whole(others)
+        self._remember(others, whole)
+        return pa.concat_arrays([joined, whole]).take(pa.array(rows))
+
+    def _merged(self, runs: pa.Array) -> pa.Array:
+        """The ids of plain pre-tokens, or none of an empty one, by few calls of the tokenizer."""
+        parts = [pa.array([], pa.large_binary())]
+        for at in range(0, len(runs), CALL):
+            part = runs[at : at + CALL]
+            ids = _ids(self.merges, " ".join(part.to_pylist()))
+            ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            last = np.concatenate([[0], np.cumsum(pc.binary_length(part).to_numpy() > 0)])
+            told = last[-1] == len(ends) - 1
+            parts.append(_binary(ends[last] * TOKEN, pa.py_buffer(ids)) if told else self._whole(part))
+        learned = pa.concat_arrays(parts)
+        self._remember(runs, learned)
+        return learned
+
+    def _whole(self, words: pa.Array) -> pa.Array:
+        encoded = self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
+        return pa.array([np.asarray(e.ids, "<u4").tobytes() for e in encoded], pa.large_binary())
+
+
+@lru_cache(maxsize=1)
+def _words(vocabulary: str) -> Words:
+    """One for all tasks that a worker runs: it loads the vocabulary and learns words once."""
+    return Words(vocabulary)
+
+
+def _binary(offsets: np.ndarray, data: pa.Buffer | None) -> pa.Array:
+    offsets = pa.py_buffer(offsets.astype("<i8"))
+    return pa.Array.from_buffers(pa.large_binary(), offsets.size // 8 - 1, [None, offsets, data])
 
 
 def _ids(tokenizer, text: str) -> np.ndarray:
@@ -205,10 +291,26 @@ class Packer:
 _LONGS = ("start", "length", "doc_tokens", "sequence_id", "offset")
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts of a batch in order, about half of ``GROUP`` bytes of text at a time."""
+    doc_ids, texts, size = [], [], 0
+    for at in range(0, batch.num_rows, SLICE):
+        part = batch.slice(at, SLICE)
+        doc_ids += part.column(0).to_pylist()
+        taken = [text or b"" for text in part.column(1).cast(pa.large_binary()).to_pylist()]
+        texts += taken
+        size += sum(map(len, taken))
+        if size >= GROUP // 2:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
+
+
 def _packed(
     batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, capacity: int, classes: int
 ) -> Iterator[pa.RecordBatch]:
-    words, packer = Words(vocabulary), Packer(capacity, classes)
+    words, packer = _words(vocabulary), Packer(capacity, classes)
     last = np.asarray([end], "<u4").tobytes()
     first = TaskContext.get().partitionId() << 33
     # Documents by number: their id, their tokens and how many of these are not yet written.
@@ -240,14 +342,15 @@ def _packed(
 
     for batch in batches:
         types[0] = batch.column(0).type
-        for doc_id, text in zip(*batch.columns):
-            tokens = words.encoded(text.as_py() or "") + last
-            n = len(tokens) // TOKEN
-            documents[number] = [doc_id.as_py(), n, n]
-            packer.add(number, tokens)
-            number += 1
-            if len(packer.done) >= ROWS // classes:
-                yield rows()
+        for doc_ids, texts in _groups(batch):
+            for doc_id, tokens in zip(doc_ids, words.encoded_all(texts)):
+                tokens += last
+                n = len(tokens) // TOKEN
+                documents[number] = [doc_id, n, n]
+                packer.add(number, tokens)
+                number += 1
+                if len(packer.done) >= ROWS // classes:
+                    yield rows()
     packer.finish()
     if packer.done:
         yield rows()

@@ -162,3 +162,27 @@ def test_long_words_and_other_vocabularies():
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = other.encode("It's  two\n\nlines", add_special_tokens=False).ids
     assert packing.Words("byte_bpe_50k.json").encoded("It's  two\n\nlines") == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_texts_learn_words_together(monkeypatch):
+    """Words new to many texts are encoded by few calls, each once; a worker loads the vocabulary once."""
+    words = packing.Words(packing.VOCABULARY)
+    texts = [f"Word{chr(97 + i // 26)}{chr(97 + i % 26)}q, and the same: don't stop {i}" for i in range(500)]
+    texts += ["", " \n ", "Ärger über die ß", "ЖИЗНЬ и жизнь", "x" * 200 + ".", "<|endoftext|>"]
+    seen = []
+    encode = packing._ids
+    monkeypatch.setattr(packing, "_ids", lambda tokenizer, text: seen.append(text) or encode(tokenizer, text))
+    found = words.encoded_all([text.encode("utf-8") for text in texts])
+    assert [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in found] == [ids_of(t)[:-1] for t in texts]
+    assert len(seen) <= 2 and sum(text.split().count("same") for text in seen) == 1
+    assert packing._words(packing.VOCABULARY) is packing._words(packing.VOCABULARY)
+
+
+def test_small_groups_and_a_small_memory(monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 300)
+    monkeypatch.setattr(packing, "PIECE", 50)
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    words = packing.Words(packing.VOCABULARY)
+    texts = [sentence(i, 5 + 7 * i) for i in range(40)] + ["", "日本 語 " * 40, "x" * 400]
+    found = words.encoded_all([text.encode("utf-8") for text in texts])
+    assert [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in found] == [ids_of(t)[:-1] for t in texts]
