@@ -6,11 +6,13 @@ picked from what is measured, not assumed:
 
 * a looked-up table within ``broadcast_bytes`` is broadcast, so the large table
   never moves;
-* a bigger one is joined by shuffle, with keys that own a large share of the
-  rows found first. Each of these, and NULL, would land in one task, so they
-  are spread over all tasks by a salt and take their columns from a broadcast
-  of just those keys' rows, at most ``MAX_HOT_KEYS`` if keys are unique, and
-  measured before.
+* a bigger one is joined by shuffle: hashed where a task's share of it is within
+  half of ``broadcast_bytes``, so that the large table is not sorted, which takes
+  a task several times that memory, and else as Spark will, by sort and merge.
+  Keys that own a large share of the rows are found first. Each of these, and NULL,
+  would land in one task, so they are spread over all tasks by a salt and take
+  their columns from a broadcast of just those keys' rows, at most
+  ``MAX_HOT_KEYS`` if keys are unique, and measured before.
   Adaptive execution splits whatever skew is left.
 
 Every row of the large table comes out under either strategy.
@@ -99,14 +101,17 @@ def resolve(
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     for lookup in lookups:
         _check(rows, lookup)
-    small = _within(lookups, broadcast_bytes)
+    sizes = _sizes(lookups)
+    small = [size <= broadcast_bytes for size in sizes]
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     skews = _skews(rows, [lk for lk, fits in zip(lookups, small) if lk.skewed and not fits], hot_rows)
-    for lookup, fits in zip(lookups, small):
+    for lookup, fits, size in zip(lookups, small, sizes):
         skew = skews.get(id(lookup), Skew())
+        hint = "broadcast" if fits else "shuffle_hash" if size <= broadcast_bytes // 2 * tasks else None
         if skew == Skew():
-            rows = _plain_join(rows, lookup, broadcast=fits)
+            rows = _plain_join(rows, lookup, hint)
         else:
-            rows = _salted_join(rows, lookup, skew)
+            rows = _salted_join(rows, lookup, skew, hint)
     return rows
 
 
@@ -189,8 +194,8 @@ def _check(rows: DataFrame, lookup: Lookup) -> None:
             raise TypeError(f"{left} is {kinds[0]} but {right} is {kinds[1]}; cast one of them")
 
 
-def _within(lookups: Sequence[Lookup], limit: int) -> list[bool]:
-    """Whether each looked-up table fits ``limit``; raises where keys repeat."""
+def _sizes(lookups: Sequence[Lookup]) -> list[int]:
+    """Bytes of each looked-up table; raises where keys repeat."""
     measured = _measured(
         [(lk.pruned(), tuple(lk.on.values()) if lk.check_unique else ()) for lk in lookups]
     )
@@ -200,7 +205,7 @@ def _within(lookups: Sequence[Lookup], limit: int) -> list[bool]:
                 f"one value of {list(lookup.on.values())} has {repeats} rows to look up, "
                 "which would multiply the rows that hold it"
             )
-    return [size <= limit for size, _ in measured]
+    return [size for size, _ in measured]
 
 
 def _measured(tables: Sequence[tuple[DataFrame, tuple[str, ...]]]) -> list[tuple[int, int]]:
@@ -261,15 +266,17 @@ def _key_as(key: Column, kind: T.DataType, wanted: T.DataType) -> Column:
     return key if kind == wanted else key.try_cast(wanted)
 
 
-def _plain_join(rows: DataFrame, lookup: Lookup, broadcast: bool) -> DataFrame:
+def _hinted(table: DataFrame, hint: str | None) -> DataFrame:
+    return table.hint(hint) if hint else table
+
+
+def _plain_join(rows: DataFrame, lookup: Lookup, hint: str | None) -> DataFrame:
     table, pairs = _renamed(lookup, rows)
-    if broadcast:
-        table = F.broadcast(table)
     matches = reduce(and_, [F.col(left) == F.col(name) for left, name in pairs])
-    return rows.join(table, matches, lookup.how).drop(*[name for _, name in pairs])
+    return rows.join(_hinted(table, hint), matches, lookup.how).drop(*[name for _, name in pairs])
 
 
-def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
+def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew, hint: str | None) -> DataFrame:
     table, pairs = _renamed(lookup, rows)
     keys, names = [left for left, _ in pairs], [name for _, name in pairs]
 
@@ -291,7 +298,7 @@ def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
         *[F.col(column).alias(f"__cold_{column}") for column in lookup.take],
     )
     matches = [F.col(key) == F.col(f"__cold_{name}") for key, name in zip(keys, names)]
-    joined = salted.join(cold, reduce(and_, matches) & (F.col("__at") == F.col("__cold_at")), "left")
+    joined = salted.join(_hinted(cold, hint), reduce(and_, matches) & (F.col("__at") == F.col("__cold_at")), "left")
     found = F.col("__cold_at").isNotNull()
     fetched = {column: F.col(f"__cold_{column}") for column in lookup.take}
     if skew.keys:
@@ -300,7 +307,7 @@ def _salted_join(rows: DataFrame, lookup: Lookup, skew: Skew) -> DataFrame:
         )
         if not fits_broadcast([few], HOT_BYTES)[0]:
             # Wide rows, or repeated keys of a table whose caller vouched for it.
-            return _plain_join(rows, lookup, broadcast=False)
+            return _plain_join(rows, lookup, None)
         matches = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
         joined = joined.join(F.broadcast(few), reduce(and_, matches), "left")
         found = found | F.col(names[0]).isNotNull()

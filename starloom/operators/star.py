@@ -102,24 +102,21 @@ def category_sales(
 ) -> DataFrame:
     """Quantity, revenue and number of orders by product category.
 
-    Sales become one row per product and order before the join. A product must
-    have one row. Where products are too many to broadcast, best-sellers are
-    looked for in ``keys_from``, a frame with the column ``sk``; the fact itself
-    is not run a second time for that, so without it skew is left to Spark.
-    Spark deduplicates (category, order) pairs before counting them, so one
-    large category is spread over tasks.
+    Sales are labelled as they are and only then summed: hardly any two are of one
+    product and order, so a row for each would be nearly as many, held in memory
+    besides the (category, order) pairs. A product must have one row. Where products
+    are too many to broadcast, best-sellers are looked for in ``keys_from``, a frame
+    with the column ``sk``; the fact itself is not run a second time for that, so
+    without it skew is left to Spark. Spark deduplicates (category, order) pairs
+    before counting them, so one large category is spread over tasks.
     """
     sold = _completed(fact, completed, sk).select(
         sk, order_id, quantity, _amount(amount).alias("amount")
     )
-    per_order = sold.groupBy(sk, order_id).agg(
-        sum_of(sold, F.col(quantity)).alias("quantity"),
-        sum_of(sold, F.col("amount")).alias("amount"),
-    )
-    labelled = _labelled(per_order, product, sk, category, keys_from)
+    labelled = _labelled(sold, product, sk, category, keys_from)
     return labelled.groupBy(F.col(category).alias("product_category")).agg(
-        sum_of(per_order, F.col("quantity")).alias("total_quantity"),
-        sum_of(per_order, F.col("amount")).alias("total_sales_amount"),
+        sum_of(sold, F.col(quantity)).alias("total_quantity"),
+        sum_of(sold, F.col("amount")).alias("total_sales_amount"),
         F.countDistinct(order_id).alias("order_count"),
     )
 

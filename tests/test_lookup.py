@@ -141,3 +141,15 @@ def test_repeated_vouched_keys_have_one_outcome(spark, facts, monkeypatch, hot_b
     for limit in (1 << 26, 0):
         with pytest.raises(ValueError, match="multiply"):
             resolve(facts, refused, limit, hot_rows=1000)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot_rows", [1000, 10**9])
+def test_a_task_hashes_a_small_share_and_does_not_sort(spark, facts, dim, how, hot_rows, no_auto_broadcast, capsys):
+    twice = dim.unionByName(dim.where("key % 5 = 0")).unionByName(dim.selectExpr("cast(null as long) as key", "name"))
+    limit = 4 * (40 * twice.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    joined = resolve(facts, [Lookup(twice, {"k": "key"}, ["name"], how)], limit, hot_rows)
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(joined) == rows(facts.join(twice, facts.k == twice.key, how).drop("key"))

@@ -183,3 +183,15 @@ def test_category_sales_run_the_fact_once(spark, fact, monkeypatch, tmp_path):
     report = star.category_sales(counted, products, keys_from=products.select("product_sk"))
     report.write.parquet(str(tmp_path / "report"))
     assert runs.value == 1
+
+
+def test_category_sales_hold_no_row_for_each_product_and_order(spark, fact, capsys):
+    """Sales are labelled first: only (category, order) pairs are held in memory."""
+    products = samples.products(spark)
+    report = star.category_sales(fact, products)
+    report.explain()
+    plan = capsys.readouterr().out
+    assert not [line for line in plan.splitlines() if "Aggregate(keys=[product_sk" in line]
+    completed = fact.where("status = 'COMPLETED'").join(products, "product_sk")
+    expected = completed.groupBy("category").agg(F.sum("quantity"), F.countDistinct("order_id")).collect()
+    assert sorted((r[0], r[1], r[3]) for r in report.collect()) == sorted(map(tuple, expected))
